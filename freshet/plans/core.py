@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from freshet.plans import problems
+
+QUERIES: dict = {**problems.QUERIES}
+SQL: dict = {**problems.SQL}
+FLAGSHIP = problems.p3_series

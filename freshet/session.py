@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,10 +44,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df reliably to the shared checkpoint folder and go on from there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
+    """Write df as a table in the shared checkpoint folder and go on from there.
+
+    instead_of: the table of an earlier round of a loop, which is removed once the new one is written. (A table and
+    not checkpoint(), as that carries the optimizer's constraints along, which double with every round of a loop.)
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/freshet-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    if old := getattr(instead_of, "__dict__", {}).get("_cut_path"):
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(old)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return out
 
 
 def partitions(spark: SparkSession) -> int:
