@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.operators import hierarchy, nearby
 from freshet.operators.regrid import regrid
+from freshet.operators.timestamps import to_utc
 from freshet.sources.tables import table
 
 
@@ -36,7 +39,26 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return g.unionByName(u.select(F.col("left_key").alias("cluster_id"), F.lit("huc8").alias("relation"), F.col("region").alias("target_id")))
 
 
-QUERIES = {"p2_found": p2_found, "p2_paths": p2_paths, "p3_found": p3_found, "p3_series": p3_series, "p4_found": p4_found}
+def _time_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """(table_name, row_key, field_name, text, zone) of the six fields."""
+
+    def of(name: str, key: str, fields: tuple[str, ...], zone: str | None) -> DataFrame:
+        cols = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields]))
+        z = F.col(zone) if zone else F.lit("UTC")
+        d = table(spark, sf, name).select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("row_key"), cols.alias("f"), z.alias("zone"))
+        return d.select("table_name", "row_key", "f.field_name", "f.text", "zone").filter("text IS NOT NULL")
+
+    both = ("BEGIN_DATE_TIME", "END_DATE_TIME")
+    parts = [of("site_events", "event_id", both, "cz_timezone"), of("storm_clusters", "cluster_id", both, "cz_timezone"), of("episodes", "episode_id", ("begin_utc",), None), of("lsrs", "lsr_id", ("valid_utc",), None)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    t = to_utc(_time_texts(spark, sf), "text", "zone", ("table_name", "row_key", "field_name")).filter("status = 'ok'")
+    return t.select("table_name", "row_key", "field_name", F.date_format("utc", "yyyy-MM-dd HH:mm:ss").alias("utc_text")).distinct()
+
+
+QUERIES = {"p2_found": p2_found, "p2_paths": p2_paths, "p3_found": p3_found, "p3_series": p3_series, "p4_found": p4_found, "p5_found": p5_found}
 
 SQL = {
     "p2_found": """
