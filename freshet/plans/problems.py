@@ -9,10 +9,24 @@ from pyspark.sql import functions as F
 
 from freshet.operators import hierarchy, nearby
 from freshet.operators.regrid import regrid
+from freshet.functions.text import site_id
+from freshet.operators.spikes import FLOOD_PEAK, RAIN_RATE, implausible
 from freshet.operators.timestamps import to_utc
 from freshet.sources.tables import table
 
 
+def p1_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    """Implausible readings of both tables with the reason."""
+    rain = implausible(table(spark, sf, "precip_scans"), "obs_id", "cell_id", "time", "precip_rate", RAIN_RATE)
+    peaks = table(spark, sf, "site_events").withColumn("site", site_id(F.col("STAID")))
+    flood = implausible(peaks, "event_id", "site", "peak_time", "peak_flow_cfs", FLOOD_PEAK)
+    return rain.select(F.lit("precip_scans").alias("table_name"), "row_id", "reason").unionByName(flood.select(F.lit("site_events").alias("table_name"), "row_id", "reason"))
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p1_reasons(spark, sf).select("table_name", "row_id")
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return hierarchy.summary(table(spark, sf, "network")).withColumnRenamed("n_up", "n_up_divides")
 
@@ -58,7 +72,7 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("table_name", "row_key", "field_name", F.date_format("utc", "yyyy-MM-dd HH:mm:ss").alias("utc_text")).distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p2_paths": p2_paths, "p3_found": p3_found, "p3_series": p3_series, "p4_found": p4_found, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p1_reasons": p1_reasons, "p2_found": p2_found, "p2_paths": p2_paths, "p3_found": p3_found, "p3_series": p3_series, "p4_found": p4_found, "p5_found": p5_found}
 
 SQL = {
     "p2_found": """
