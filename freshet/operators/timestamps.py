@@ -38,7 +38,7 @@ _EPOCH = r"^(\d{10})(?:\d{3}|\d{6}|\.\d+)?$"
 
 
 def _letters(c: Column) -> Column:
-    return F.element_at(F.create_map(*[F.lit(x) for kv in ZONE_LETTERS.items() for x in kv]), F.upper(c))
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in ZONE_LETTERS.items() for x in kv]), F.upper(c))
 
 
 def _signed(c: Column) -> Column:
@@ -48,41 +48,42 @@ def _signed(c: Column) -> Column:
     return F.when((h <= 18) & (m < 60), F.when(c.startswith("-"), -(h * 60 + m)).otherwise(h * 60 + m))
 
 
-def parse(text: Column, zone: Column) -> Column:
-    """struct(local timestamp_ntz, minutes int, name string): the wall time and its offset or its zone's lower-case name.
+def parse(df: DataFrame, text: str, zone: str) -> DataFrame:
+    """df with local (timestamp_ntz), minutes and name in place of text and zone: the wall time and its offset or its zone's lower-case name.
 
-    zone is used where the text has none: an IANA name, letters, or letters with hours ('CST-6', 'GST10'). All fields are null
-    where the text can't be read or means no time that exists; minutes and name are null without a known zone.
+    zone is used where the text has none: an IANA name, letters, or letters with hours ('CST-6', 'GST10'). All three are null
+    where the text can't be read or means no time that exists; minutes and name are null without a known zone. Each step is a projection
+    of its own, so that no expression is repeated inside of another.
     """
-    t = F.trim(text)
+    kept = [c for c in df.columns if c not in (text, zone)]
+    d = df.select(*kept, F.trim(text).alias("_t"), F.trim(zone).alias("_z"))
     canon = None
     for pattern, parts in reversed(FORMATS):
-        hit = F.regexp_replace(t, pattern, parts)
-        canon = F.when(t.rlike(pattern), hit) if canon is None else F.when(t.rlike(pattern), hit).otherwise(canon)
-    p = F.split(canon, r"\|")
-    part = lambda i: F.get(p, F.lit(i))
+        hit = F.regexp_replace("_t", pattern, parts)
+        canon = F.when(F.col("_t").rlike(pattern), hit) if canon is None else F.when(F.col("_t").rlike(pattern), hit).otherwise(canon)
+    d = d.withColumn("_p", F.split(canon, r"\|")).withColumn("_epoch", F.regexp_extract("_t", _EPOCH, 1).try_cast("bigint"))
+    part = lambda i: F.get("_p", F.lit(i))
     num = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
-    year = num(0) + F.when(F.length(part(0)) == 2, 2000).otherwise(0)
-    name = F.instr(F.lit(MONTHS), F.upper(part(1)))
-    month = F.when(part(1).rlike("^[0-9]"), num(1)).when(name % 3 == 1, ((name - 1) / 3 + 1).cast("int"))
-    half = F.upper(part(6))
-    hour = F.when(half == "", num(3)).when(num(3).between(1, 12), num(3) % 12 + F.when(half == "P", 12).otherwise(0))
-    hour = F.when(hour < 24, hour)
+    d = d.select(
+        *kept, "_z", "_epoch", part(0).alias("_year"), part(1).alias("_month"), num(2).alias("_day"), num(3).alias("_hour"), num(4).alias("_minute"),
+        num(5).alias("_second"), F.upper(part(6)).alias("_half"), part(7).alias("_own"), F.regexp_extract("_z", r"^[A-Za-z]+([+-]?\d{1,2})$", 1).try_cast("int").alias("_hours"),
+    )
+    year = F.col("_year").try_cast("int") + F.when(F.length("_year") == 2, 2000).otherwise(0)
+    at = F.instr(F.lit(MONTHS), F.upper("_month"))
+    month = F.when(F.col("_month").rlike("^[0-9]"), F.col("_month").try_cast("int")).when(at % 3 == 1, ((at - 1) / 3 + 1).cast("int"))
+    twelve = F.when(F.col("_hour").between(1, 12), F.col("_hour") % 12 + F.when(F.col("_half") == "P", 12).otherwise(0))
+    hour = F.when(F.col("_half") == "", F.when(F.col("_hour") < 24, F.col("_hour"))).otherwise(twelve)
     # Spark takes second 60 as the next minute
-    local = F.call_function("try_make_timestamp_ntz", year, month, num(2), hour, num(4), F.when(num(5) < 60, num(5)).cast("decimal(8,6)"))
-    own = part(7)
-    own_minutes = F.when(own.rlike("^[+-]"), _signed(own)).otherwise(F.try_element_at(F.create_map(*[F.lit(x) for kv in ZONE_LETTERS.items() for x in kv]), F.upper(own)))
-    z = F.trim(zone)
-    hours = F.regexp_extract(z, r"^[A-Za-z]+([+-]?\d{1,2})$", 1).try_cast("int")
-    z_minutes = F.when(hours.between(-18, 18), hours * 60).otherwise(F.try_element_at(F.create_map(*[F.lit(x) for kv in ZONE_LETTERS.items() for x in kv]), F.upper(z)))
-    minutes = F.when(own != "", own_minutes).otherwise(z_minutes)
-    named = F.lower(F.when(own != "", own).otherwise(z))
-    named = F.when(minutes.isNull() & named.contains("/"), named)
-    seconds = F.regexp_extract(t, _EPOCH, 1).try_cast("bigint")
-    at = F.timestamp_add("SECOND", seconds, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
-    epoch = F.struct(at.alias("local"), F.lit(0).alias("minutes"), F.lit(None).cast("string").alias("name"))
-    read = F.struct(local.alias("local"), minutes.cast("int").alias("minutes"), named.alias("name"))
-    return F.when(seconds.isNotNull(), epoch).otherwise(read)
+    local = F.call_function("try_make_timestamp_ntz", year, month, F.col("_day"), hour, F.col("_minute"), F.when(F.col("_second") < 60, F.col("_second")).cast("decimal(8,6)"))
+    own = F.when(F.col("_own").rlike("^[+-]"), _signed(F.col("_own"))).otherwise(_letters(F.col("_own")))
+    row = F.when(F.col("_hours").between(-18, 18), F.col("_hours") * 60).otherwise(_letters(F.col("_z")))
+    d = d.withColumn("local", local).withColumn("minutes", F.when(F.col("_own") != "", own).otherwise(row).cast("int")).withColumn("name", F.lower(F.when(F.col("_own") != "", F.col("_own")).otherwise(F.col("_z"))))
+    epoch = F.col("_epoch").isNotNull()
+    instant = F.timestamp_add("SECOND", F.col("_epoch"), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    return d.select(
+        *kept, F.when(epoch, instant).otherwise(F.col("local")).alias("local"), F.when(epoch, 0).otherwise(F.col("minutes")).alias("minutes"),
+        F.when(~epoch & F.col("minutes").isNull() & F.contains("name", F.lit("/")), F.col("name")).alias("name"),
+    )
 
 
 def offset_intervals(spark: SparkSession, wanted: DataFrame) -> DataFrame:
@@ -118,8 +119,7 @@ def to_utc(df: DataFrame, text: str, zone: str | None, keep: tuple[str, ...], ou
     """
     z = F.coalesce(F.col(zone), F.lit(default_zone)) if zone else F.lit(default_zone)
     src = df.select(*[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("_text"), z.alias("_zone"))
-    p = src.withColumn("_p", parse(F.col("_text"), F.col("_zone"))).drop("_text", "_zone")
-    p = p.select("*", "_p.local", "_p.minutes", "_p.name").drop("_p").withColumn("year", F.year("local"))
+    p = cut(parse(src, "_text", "_zone").withColumn("year", F.year("local")))  # read twice: for the zones that occur, and to place the times
     # no join for what already has its offset; the table of intervals is written so that its true size decides on a broadcast
     walls = p.filter("local IS NOT NULL AND minutes IS NULL AND name IS NOT NULL")
     spans = cut(offset_intervals(df.sparkSession, walls.select("name", "year")))
