@@ -24,3 +24,31 @@ def with_halo(t: Column, block: int, before: int = 0, after: int = 0) -> Column:
     """
     lo, hi = F.floor((t - F.lit(after)) / F.lit(block)), F.floor((t + F.lit(before)) / F.lit(block))
     return F.explode(F.sequence(lo, hi))
+
+
+def water_year(c: Column) -> Column:
+    """The year that a water year (October to September) ends in."""
+    return (F.year(c) + (F.month(c) >= 10).cast("int")).cast("bigint")
+
+
+def floor_to(c: Column, seconds: int) -> Column:
+    """The start of the step of so many seconds since 1970 that holds the time."""
+    n = seconds * 1_000_000
+    return from_micros((F.floor(micros(c) / F.lit(n)) * n).cast("bigint"))
+
+
+def ceil_to(c: Column, seconds: int) -> Column:
+    n = seconds * 1_000_000
+    return from_micros((F.ceil(micros(c) / F.lit(n)) * n).cast("bigint"))
+
+
+def from_parts(yearmonth: Column, day: Column, hhmm: Column) -> Column:
+    """YYYYMM, DD and HHMM numbers to a time; hours and minutes are held to 0-23 and 0-59, impossible dates are null."""
+    hold = lambda c, top: F.least(F.greatest(c, F.lit(0)), F.lit(top))
+    return F.call_function(
+        "try_make_timestamp_ntz", F.floor(yearmonth / 100).cast("int"), (yearmonth % 100).cast("int"), day.cast("int"), hold(F.floor(hhmm / 100).cast("int"), 23), hold((hhmm % 100).cast("int"), 59), F.lit(0).cast("decimal(8,6)")
+    )
+
+
+def midpoint(a: Column, b: Column) -> Column:
+    return from_micros(F.floor((micros(a) + micros(b)) / 2).cast("bigint"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from freshet.plans import problems
+from freshet.plans import problems, reference
 
-QUERIES: dict = {**problems.QUERIES}
-SQL: dict = {**problems.SQL}
-FLAGSHIP = problems.p3_series
+QUERIES: dict = {**problems.QUERIES, **reference.QUERIES}
+SQL: dict = {**problems.SQL, **reference.SQL}
+FLAGSHIP = reference.episode_assembly
