@@ -77,10 +77,10 @@ QUERIES = {"p1_found": p1_found, "p1_reasons": p1_reasons, "p2_found": p2_found,
 SQL = {
     "p2_found": """
 WITH RECURSIVE r AS (SELECT trim(id) AS id, min(trim(toid)) FILTER (WHERE trim(toid) IN (SELECT trim(id) FROM network)) AS p FROM network WHERE id IS NOT NULL GROUP BY 1),
-up(id, node, k) AS (SELECT id, id, 0 FROM r UNION ALL SELECT up.id, r.p, k + 1 FROM up JOIN r ON r.id = up.node WHERE r.p IS NOT NULL AND k < 100000 AND r.p NOT IN (SELECT id FROM circle)),
-walk(s, node, k) AS (SELECT id, p, 1 FROM r WHERE p IS NOT NULL UNION SELECT s, r.p, 1 FROM walk JOIN r ON r.id = walk.node WHERE r.p IS NOT NULL),
-circle AS (SELECT s AS id FROM walk WHERE s = node),
-bad AS (SELECT DISTINCT s AS id FROM walk WHERE node IN (SELECT id FROM circle) UNION SELECT id FROM circle),
+walk(s, node) AS (SELECT id, p FROM r WHERE p IS NOT NULL UNION SELECT s, r.p FROM walk JOIN r ON r.id = walk.node WHERE r.p IS NOT NULL),
+circle AS (SELECT DISTINCT s AS id FROM walk WHERE s = node),
+bad AS (SELECT DISTINCT s AS id FROM walk WHERE node IN (SELECT id FROM circle)),
+up(id, node, k) AS (SELECT id, id, 0 FROM r WHERE id NOT IN (SELECT id FROM bad) UNION ALL SELECT up.id, r.p, k + 1 FROM up JOIN r ON r.id = up.node WHERE r.p IS NOT NULL),
 roots AS (SELECT up.id, up.node AS root_id, up.k AS depth FROM up JOIN r ON r.id = up.node WHERE r.p IS NULL),
 n AS (SELECT up.node AS id, count(DISTINCT d.divide_id) AS n FROM up JOIN network d ON trim(d.id) = up.id GROUP BY 1)
 SELECT r.id, CASE WHEN bad.id IS NULL THEN roots.root_id ELSE 'CYCLE' END AS root_id,
