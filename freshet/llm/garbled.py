@@ -39,6 +39,8 @@ AGAINST_UTF8, AGAINST_OTHER = 3.0, 10.0
 #: Words are not held against swaps that make them this much less likely; a line under such a swap is not garbled.
 LEAST_WORD = -3.0
 ROUNDS = 3
+#: So many of a word's own occurrences don't speak for the word as it stands, or rare garbled words would explain themselves.
+OWN = 3
 NOT_ASCII = r"[^\x00-\x7F]"
 LOST = "�"
 _NOT_ASCII = re.compile(NOT_ASCII)
@@ -94,25 +96,27 @@ class Bigrams:
     """Log probabilities of symbols after symbols; at most N_SYMBOLS squared numbers, and one for each ideograph of the first plane."""
 
     def __init__(self, counts: pd.DataFrame):
-        m = np.zeros(N_SYMBOLS * N_SYMBOLS)
+        m = np.zeros(N_SYMBOLS * N_SYMBOLS, np.float32)
         pairs, single = counts[counts["kind"] == 0], counts[counts["kind"] == 1]
         m[pairs["code"].to_numpy(int)] = pairs["n"]
-        m = m.reshape(N_SYMBOLS, N_SYMBOLS)
-        alone = (m.sum(0) + 0.02) / (m.sum() + 0.02 * N_SYMBOLS)
-        self.log = np.log((m + 5 * alone) / (m.sum(1, keepdims=True) + 5)).astype(np.float32)
+        self.m = m.reshape(N_SYMBOLS, N_SYMBOLS)
+        self.row = self.m.sum(1, dtype=float)
+        self.alone = 5 * (self.m.sum(0, dtype=float) + 0.02) / (self.row.sum() + 0.02 * N_SYMBOLS)
         s = np.full(0x10000, 0.05)
         low = single[single["code"] < 0x10000]
         s[low["code"].to_numpy(int)] += low["n"]
         self.single = np.log(s / (float(single["n"].sum()) + 1000)).astype(np.float32)
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def score(self, texts: list[str], own: list[int] | None = None) -> np.ndarray:
+        """Log probability of each text; own: occurrences that are left out of its counts."""
         if not texts:
             return np.empty(0)
         sym, raw, starts = _codes(texts)
-        v = np.append(self.log[sym[:-1], sym[1:]], 0).astype(float)
-        v += np.where(raw >= IDEOGRAPHS, self.single[np.minimum(raw, 0xFFFF)], 0)
-        ends = np.append(starts[1:], len(sym)) - 1
-        v[ends] = 0  # from one text to the next
+        less = np.repeat(own, [len(t) + 2 for t in texts])[:-1] if own is not None else 0.0
+        a, b = sym[:-1], sym[1:]
+        v = np.log((np.maximum(self.m[a, b] - less, 0) + self.alone[b]) / (np.maximum(self.row[a] - less, 0) + 5))
+        v = np.append(v, 0.0) + np.where(raw >= IDEOGRAPHS, self.single[np.minimum(raw, 0xFFFF)], 0)
+        v[np.append(starts[1:], len(sym)) - 1] = 0  # from one text to the next
         return np.add.reduceat(v, starts)
 
 
@@ -234,14 +238,16 @@ def find_garbled(docs: DataFrame, key: str = "doc_id", text: str = "text", sourc
 
         def score(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                w, t = b.column(0).to_pylist(), b.column(2).to_pylist()
-                alone = list(dict.fromkeys(w))
-                base = dict(zip(alone, model.value.score(alone)))
+                w, t, n = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()
+                own = dict(zip(w, n))
+                base = dict(zip(own, model.value.score(list(own), list(own.values()))))
                 gain = model.value.score(t) - np.array([base[x] for x in w]) if w else np.empty(0)
                 keep = pa.array(gain >= LEAST_WORD)
                 yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep), pa.array(gain).filter(keep)], ["word", "swap", "gain"])
 
-        gains = maybe.mapInArrow(score, "word string, swap string, gain double")
+        known = teach.groupBy(F.col("text").alias("word")).agg(F.least(F.sum("n"), F.lit(OWN)).alias("n"))
+        said = maybe.join(known, "word", "left").select("word", "swap", "text", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+        gains = said.mapInArrow(score, "word string, swap string, gain double")
         per = words.join(gains, "word").groupBy("source", "form", "swap").agg(F.sum("gain").alias("gain"), F.count("*").alias("k"), F.first("n").alias("n"))
         per = per.filter(F.col("k") == F.size(F.split("form", "\n"))).filter(F.col("gain") > against)
         per = per.join(prior, ["source", "swap"], "left").withColumn("fit", F.col("gain") - against + F.coalesce("bonus", F.lit(0.0)))
@@ -250,7 +256,7 @@ def find_garbled(docs: DataFrame, key: str = "doc_id", text: str = "text", sourc
         found = cut(per.withColumn("r", F.row_number().over(best)).filter("r = 1").select("source", "form", "swap", "n"))
         prior = found.groupBy("source", "swap").agg(F.log1p(F.sum("n")).alias("bonus"))
         now = words.join(found.select("source", "form", "swap"), ["source", "form"], "left").join(maybe, ["word", "swap"], "left")
-        teach = now.groupBy(F.coalesce("text", "word").alias("text")).agg(F.sum("n").alias("n"))
+        teach = cut(now.groupBy(F.coalesce("text", "word").alias("text")).agg(F.sum("n").alias("n")))
         model.unpersist()
 
     used = found.select("source", "swap", "n", F.explode(F.split("form", "\n")).alias("word")).groupBy("source", "swap", "word").agg(F.sum("n").alias("n"))
@@ -280,8 +286,8 @@ def _translated(line: str, table: dict[str, str]) -> str:
 def restore(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """(key, text, exact) of the garbled documents, with their garbled lines restored by the keys of their source.
 
-    exact: all garbled lines equal what undoing the bytes gives; lines with lost characters stay as they are, and exact is false. Repeated
-    documents come as often as in docs. See find_garbled for the other cases.
+    Where a line's bytes can be read back, they decide over units that stand for two letters; exact tells whether that held for
+    all garbled lines. Lines with lost characters stay as they are, and exact is false. Repeated documents come as often as in docs. See find_garbled for the other cases.
     """
     g = find_garbled(docs, key, text, source)
     table = g.keys.groupBy("source", "swap").agg(F.collect_list(F.struct("unit", "letter", "n")).alias("table"))
@@ -308,7 +314,9 @@ def restore(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
                     for u in x["table"]:
                         most[u["unit"]] = max(most.get(u["unit"], (0, "")), (u["n"], u["letter"]))
                     parts[i] = _translated(line, {u: c for u, (_, c) in most.items()})
-                    ok &= parts[i] == undo(line, x["swap"])
+                    if (exact := undo(line, x["swap"])) is not None:  # a unit that two letters share
+                        parts[i] = exact
+                    ok &= exact is not None
                 texts.append("".join(parts))
                 oks.append(ok)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(oks, pa.bool_())], ["doc", "text", "exact"])
