@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.session import cut
+from freshet.operators.series import running_total
 
 
 def at_least(criteria: dict[str, float]) -> Column:
@@ -35,13 +35,9 @@ def funnel(df: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
 def class_breaks(df: DataFrame, value: str, shares: tuple[float, ...]) -> DataFrame:
     """(q, value): the exact value at place floor(q * n), counted from 0, for each share q."""
     n = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    # ranks by ranges: sorted partitions, each with the number of rows before it
-    s = cut(n.repartitionByRange("v").sortWithinPartitions("v").withColumn("_part", F.spark_partition_id()))
-    sizes = s.groupBy("_part").agg(F.sum("n").alias("k"))
-    before = sizes.withColumn("before", F.sum("k").over(Window.orderBy("_part")) - F.col("k")).withColumn("all", F.sum("k").over(Window.partitionBy())).drop("k")  # a row for each partition
-    run = s.join(F.broadcast(before), "_part").withColumn("hi", F.col("before") + F.sum("n").over(Window.partitionBy("_part").orderBy("v")))
+    run = running_total(n, ["v"], F.col("n"), "lo", "all")
     k = F.least(F.floor(F.col("q") * F.col("all")), F.col("all") - 1)
-    return run.withColumn("q", F.explode(F.array(*[F.lit(q) for q in shares]))).filter((k < F.col("hi")) & (k >= F.col("hi") - F.col("n"))).select("q", F.col("v").alias("value"))
+    return run.withColumn("q", F.explode(F.array(*[F.lit(q) for q in shares]))).filter((k >= F.col("lo")) & (k < F.col("lo") + F.col("n"))).select("q", F.col("v").alias("value"))
 
 
 def contingency(df: DataFrame, forecast: Column, observed: Column) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.times import floor_to, micros
+from freshet.session import cut
 
 HOUR = 3600 * 1_000_000
 
@@ -35,7 +36,7 @@ def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_time: str,
     Buckets as wide as the tolerance make it an equality join on key and bucket.
     """
     tol = tolerance_s * 1_000_000
-    le = left.withColumn("_t", micros(F.col(left_time))).withColumn("_row", F.monotonically_increasing_id())
+    le = cut(left.withColumn("_t", micros(F.col(left_time))).withColumn("_row", F.monotonically_increasing_id()))  # the numbers stay as written
     ri = right.select(F.col(key).alias("_key"), micros(F.col(right_time)).alias("_u"), F.struct(*right_cols).alias("_r"))
     ri = ri.withColumn("_k", F.floor(F.col("_u") / F.lit(tol)))
     probe = le.select("_row", F.col(key).alias("_key"), "_t", F.explode(F.sequence(F.floor((F.col("_t") - tol) / F.lit(tol)), F.floor((F.col("_t") + tol) / F.lit(tol)))).alias("_k"))

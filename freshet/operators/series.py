@@ -94,20 +94,24 @@ def sessions(df: DataFrame, source: str, time: str, gap_seconds: int) -> DataFra
     return df.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def shard(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """Adds shard 0 .. n - 1, contiguous in the order and of equal size to one row (floor(i * n / rows)).
+def running_total(df: DataFrame, order: list[str], size: Column, total: str, all_: str) -> DataFrame:
+    """Adds total, the sum of size over the rows before this one in the whole order, and all_, the sum over all rows.
 
-    Rows are numbered without one global window: a range partitioning sorts them, and partition counts give each its offset.
+    No task sees all rows: a range partitioning sorts them, each partition is summed, and the partitions' sums give each its offset.
     """
-    s = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_k", F.monotonically_increasing_id()))
-    part = F.shiftright("_k", 33)
-    sizes = s.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).withColumn("_all", F.sum("_n").over(Window.partitionBy())).drop("_n")  # a row for each partition
-    row = F.col("_before") + (F.col("_k") - F.shiftleft("_part", 33))
-    return s.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn("shard", F.floor(row * n / F.col("_all"))).drop("_k", "_part", "_before", "_all")
+    s = cut(df.withColumn("_n", size).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = s.groupBy("_part").agg(F.sum("_n").alias("_k"))
+    before = sizes.withColumn("_before", F.sum("_k").over(Window.orderBy("_part")) - F.col("_k")).withColumn(all_, F.sum("_k").over(Window.partitionBy())).drop("_k")  # a row for each partition
+    run = F.sum("_n").over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return s.join(F.broadcast(before), "_part").withColumn(total, F.col("_before") + run - F.col("_n")).drop("_part", "_n", "_before")
+
+
+def shard(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """Adds shard 0 .. n - 1, contiguous in the order and of equal size to one row: floor(i * n / rows)."""
+    s = running_total(df, order, F.lit(1).cast("bigint"), "_row", "_all")
+    return s.withColumn("shard", F.floor(F.col("_row") * n / F.col("_all"))).drop("_row", "_all")
 
 
 def offsets(df: DataFrame, order: str, size: str) -> DataFrame:
-    """Adds start and stop: running offsets of packed rows; the rows are summaries, one for each packed group."""
-    run = F.sum(size).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("stop", run).withColumn("start", F.col("stop") - F.col(size))
+    """Adds start and stop: where the elements of each row begin and end when all rows are packed one after the other."""
+    return running_total(df, [order], F.col(size), "start", "_all").withColumn("stop", F.col("start") + F.col(size)).drop("_all")

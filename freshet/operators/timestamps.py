@@ -120,17 +120,18 @@ def to_utc(df: DataFrame, text: str, zone: str | None, keep: tuple[str, ...], ou
     z = F.coalesce(F.col(zone), F.lit(default_zone)) if zone else F.lit(default_zone)
     src = df.select(*[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("_text"), z.alias("_zone"))
     p = cut(parse(src, "_text", "_zone").withColumn("year", F.year("local")))  # read twice: for the zones that occur, and to place the times
-    # no join for what already has its offset; the table of intervals is written so that its true size decides on a broadcast
-    walls = p.filter("local IS NOT NULL AND minutes IS NULL AND name IS NOT NULL")
+    # only wall times of named zones are joined; the table of intervals is written so that its true size decides on a broadcast
+    wall = F.col("local").isNotNull() & F.col("minutes").isNull() & F.col("name").isNotNull()
+    walls = p.filter(wall)
     spans = cut(offset_intervals(df.sparkSession, walls.select("name", "year")))
-    p = p.withColumn("name", F.when(F.col("minutes").isNull(), F.col("name"))).join(spans, ["name", "year"], "left")
-    hit = F.expr("filter(spans, s -> s.lo <= local AND local < s.hi)")
-    p = p.withColumn("hit", hit).withColumn("minutes", F.coalesce("minutes", F.when(F.size("hit") == 1, F.expr("hit[0].minutes"))))
+    hit = walls.join(spans, ["name", "year"], "left").withColumn("hit", F.expr("filter(spans, s -> s.lo <= local AND local < s.hi)"))
+    hit = hit.withColumn("minutes", F.when(F.size("hit") == 1, F.expr("hit[0].minutes"))).withColumn("n", F.when(F.col("spans").isNotNull(), F.size("hit")))
+    p = p.filter(~wall).withColumn("n", F.lit(None).cast("int")).unionByName(hit.drop("spans", "hit"))
     status = (
         F.when(F.col("local").isNull(), "unreadable")
         .when(F.col("minutes").isNotNull(), "ok")
-        .when(F.col("spans").isNull(), "no zone")
-        .when(F.size("hit") == 0, "skipped")
+        .when(F.col("n").isNull(), "no zone")
+        .when(F.col("n") == 0, "skipped")
         .otherwise("repeated")
     )
     utc = F.when(F.col("local").isNotNull(), F.timestamp_add("MINUTE", -F.col("minutes"), F.col("local")))

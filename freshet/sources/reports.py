@@ -75,7 +75,7 @@ def gauge_answers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Landed JSON answers of a gage service to (site, site_name, lat, lon, time, value); blank values are null, only the first value list counts."""
     shape = (
         "value struct<timeSeries: array<struct<sourceInfo: struct<siteName: string, siteCode: array<struct<value: string>>, geoLocation: struct<geogLocation: struct<latitude: double, longitude: double>>>,"
-        " values: array<struct<value: array<struct<value: string, dateTime: string>>>>>>"
+        " values: array<struct<value: array<struct<value: string, dateTime: string>>>>>>>"
     )
     d = spark.read.option("multiLine", True).schema(shape).json(paths).select(F.explode("value.timeSeries").alias("s"))
     d = d.select(F.expr("s.sourceInfo.siteCode[0].value").alias("site"), F.col("s.sourceInfo.siteName").alias("site_name"), F.col("s.sourceInfo.geoLocation.geogLocation").alias("g"), F.explode(F.expr("s.values[0].value")).alias("v"))

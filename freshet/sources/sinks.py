@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from freshet.session import cut
+
 
 def write_table(df: DataFrame, path: str, csv: bool = False, compression: str = "zstd") -> None:
     """Parquet at path/parquet and, if asked for, CSV with a header and doubled quotes at path/csv, both in parallel parts."""
@@ -19,17 +21,15 @@ def write_documents(df: DataFrame, path: str, by: str) -> None:
 
 
 def write_script(df: DataFrame, path: str, name: str) -> None:
-    """`var NAME = {"fields": [...], "rows": [...]};` as a text file: the rows as arrays in the columns' order.
+    """A payload script in parallel parts: path/head declares `var NAME = {fields, rows: []};`, each line of path/rows pushes one row.
 
-    A script file is one piece by its nature: the lines are written by one task, in the order of the first column, and nothing passes the driver.
+    The parts, head first, make one script in any order of the rows' files.
     """
+    spark = df.sparkSession
     fields = ", ".join(f'"{c}"' for c in df.columns)
-    row = F.concat(F.lit("["), F.concat_ws(", ", *[F.regexp_replace(F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}), r'^\{"v":(.*)\}$', "$1") for c in df.columns]), F.lit("]"))
-    n = Window.orderBy("_o")
-    lines = df.select(F.col(df.columns[0]).alias("_o"), row.alias("row")).coalesce(1).select(F.row_number().over(n).alias("i"), F.lead("row").over(n).alias("more"), "row").sortWithinPartitions("i")
-    head, tail = f'var {name} = {{"fields": [{fields}], "rows": [', "]};"
-    text = F.concat(F.when(F.col("i") == 1, F.lit(head + "\n")).otherwise(""), F.col("row"), F.when(F.col("more").isNull(), F.lit("\n" + tail)).otherwise(","))
-    lines.select(text.alias("value")).write.mode("overwrite").text(path)
+    cells = [F.regexp_replace(F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}), r'^\{"v":(.*)\}$', "$1") for c in df.columns]
+    spark.range(1).select(F.lit(f'var {name} = {{"fields": [{fields}], "rows": []}};').alias("value")).write.mode("overwrite").text(f"{path}/head")
+    df.select(F.concat(F.lit(f"{name}.rows.push(["), F.concat_ws(", ", *cells), F.lit("]);")).alias("value")).write.mode("overwrite").text(f"{path}/rows")
 
 
 def upsert_days(new: DataFrame, path: str, time: str, keys: list[str]) -> None:
@@ -48,8 +48,6 @@ def upsert_days(new: DataFrame, path: str, time: str, keys: list[str]) -> None:
     if old is not None:
         old = old.withColumn("day", F.to_date("day")).join(n.select("day").distinct(), "day", "left_semi").withColumn("_new", F.lit(0))
         n = n.unionByName(old, allowMissingColumns=True)
-    from freshet.session import cut
-
     w = Window.partitionBy("day", *keys).orderBy(F.col("_new").desc())
     best = cut(n.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "_new"))  # read before it is overwritten
     best.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
