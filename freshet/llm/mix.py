@@ -84,7 +84,7 @@ def mix_sources(
     fixed = spark.createDataFrame([(r["source"], r["target_share"], r["max_repeats"]) for r in listed], shape)
 
     d = docs.select(F.col(key).alias("_id"), source_name(F.col(source)).alias("_source"), F.col(text).alias("_text"))
-    d = d.filter(F.col("_source").isin([r["source"] for r in listed])) if listed else d.filter("false")
+    d = d.join(F.broadcast(fixed.select(F.col("source").alias("_source"))), "_source", "left_semi")  # at most MAX_SOURCES rows
     counted = cut(encode_corpus(d, "_id", "_text", count_only=True, keep=("_source",), **tokenizer))  # a few bytes a document; texts are encoded once
 
     sums = {r["_source"]: (r["n"], r["tokens"]) for r in counted.groupBy("_source").agg(F.count("*").alias("n"), F.sum("n").alias("tokens")).collect()}
