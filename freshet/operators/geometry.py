@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,3 +104,94 @@ def nearest_line(points: DataFrame, segments: DataFrame, bucket: float, reach: i
     j = p.join(s, ["bx", "by"]).withColumn("distance", d).filter(F.col("distance") <= reach * bucket)
     m = j.groupBy("point_id").agg(F.min(F.struct("distance", "line_id")).alias("m"))
     return m.select("point_id", "m.line_id", "m.distance")
+
+
+def _common_area(a: list, b: list) -> float:
+    """Area that two sets of even-odd rings share: between neighbouring vertices and crossings, lengths along y change linearly."""
+    edges = []
+    for rings in (a, b):
+        e = [(p, q) if p[0] < q[0] else (q, p) for r in rings for p, q in zip(r[:-1], r[1:]) if p[0] != q[0]]
+        edges.append(np.array(e, float).reshape(-1, 4))
+    if not all(map(len, edges)):
+        return 0.0
+    (ax1, ay1, ax2, ay2), (bx1, by1, bx2, by2) = edges[0].T, edges[1].T
+    lo, hi = max(ax1.min(), bx1.min()), min(ax2.max(), bx2.max())
+    if lo >= hi:
+        return 0.0
+    sa, sb = (ay2 - ay1) / (ax2 - ax1), (by2 - by1) / (bx2 - bx1)
+    with np.errstate(all="ignore"):
+        x = ((by1 - sb * bx1)[None, :] - (ay1 - sa * ax1)[:, None]) / (sa[:, None] - sb[None, :])
+        both = (x > np.maximum(ax1[:, None], bx1[None, :])) & (x < np.minimum(ax2[:, None], bx2[None, :]))
+    stops = np.unique(np.concatenate([ax1, ax2, bx1, bx2, x[both], [lo, hi]]))
+    stops = stops[(stops >= lo) & (stops <= hi)]
+    total = 0.0
+    for x0, x1 in zip(stops[:-1], stops[1:]):
+        m = (x0 + x1) / 2
+        ya, yb = (np.sort(y1 + (m - p1) * s)[: 2 * (k.sum() // 2)] for p1, p2, y1, s in ((ax1, ax2, ay1, sa), (bx1, bx2, by1, sb)) for k in [(p1 < m) & (p2 > m)] for p1, y1, s in [(p1[k], y1[k], s[k])])
+        for c, d in zip(ya[::2], ya[1::2]):
+            total += (x1 - x0) * np.clip(np.minimum(d, yb[1::2]) - np.maximum(c, yb[::2]), 0, None).sum()
+    return total
+
+
+def overlaps(left: DataFrame, right: DataFrame, left_at: tuple[str, str], right_at: tuple[str, str], bucket: float) -> DataFrame:
+    """(left_key, right_key, area) of all pairs of outlines that share area; each side is (key, rings).
+
+    Boxes are laid into buckets of the plane; a pair that meets in several is kept in the bucket of its common box's lower corner.
+    """
+
+    def boxed(df: DataFrame, key: str, rings: str, p: str) -> DataFrame:
+        d = df.select(F.col(key).alias(f"{p}_key"), F.col(rings).alias(f"{p}_rings")).filter(F.size(F.flatten(F.col(rings))) > 3)
+        pts = F.flatten(F.col(f"{p}_rings"))
+        along = {"x": F.transform(pts, lambda q: q["x"]), "y": F.transform(pts, lambda q: q["y"])}
+        d = d.withColumns({f"{p}_{m}{c}": getattr(F, f"array_{m}")(along[c]) for m in ("min", "max") for c in "xy"})
+        d = d.withColumn("bx", F.explode(F.sequence(F.floor(F.col(f"{p}_minx") / bucket), F.floor(F.col(f"{p}_maxx") / bucket))))
+        return d.withColumn("by", F.explode(F.sequence(F.floor(F.col(f"{p}_miny") / bucket), F.floor(F.col(f"{p}_maxy") / bucket))))
+
+    j = boxed(left, *left_at, "l").join(boxed(right, *right_at, "r"), ["bx", "by"])
+    j = j.filter((F.greatest("l_minx", "r_minx") < F.least("l_maxx", "r_maxx")) & (F.greatest("l_miny", "r_miny") < F.least("l_maxy", "r_maxy")))
+    j = j.filter((F.col("bx") == F.floor(F.greatest("l_minx", "r_minx") / bucket)) & (F.col("by") == F.floor(F.greatest("l_miny", "r_miny") / bucket)))
+    j = j.select(F.col("l_key").alias("left_key"), F.col("r_key").alias("right_key"), "l_rings", "r_rings")
+    plain = lambda rings: [[(p["x"], p["y"]) for p in r] for r in rings]
+
+    def areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in batches:
+            got = [_common_area(plain(a), plain(b)) for a, b in zip(f.column(2).to_pylist(), f.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([f.column(0), f.column(1), pa.array(got, pa.float64())], ["left_key", "right_key", "area"])
+
+    kinds = dict(j.dtypes)
+    return j.mapInArrow(areas, f"left_key {kinds['left_key']}, right_key {kinds['right_key']}, area double").filter("area > 0")
+
+
+def simplify(regions: DataFrame, key: str, rings: str, tolerance: float) -> DataFrame:
+    """(region, rings) with the vertices left out that lie within the tolerance of the line kept (farthest-point splitting); rings of under 4 points go."""
+
+    def keep(r: np.ndarray) -> np.ndarray:
+        on = np.zeros(len(r), bool)
+        on[[0, -1]] = True
+        far = int(np.argmax(((r - r[0]) ** 2).sum(1)))
+        on[far] = True
+        todo = [(0, far), (far, len(r) - 1)]
+        while todo:
+            a, b = todo.pop()
+            if b - a < 2:
+                continue
+            d, p = r[b] - r[a], r[a + 1 : b] - r[a]
+            n = (d**2).sum()
+            t = np.clip(p @ d / n, 0, 1) if n else np.zeros(len(p))
+            off = np.hypot(*(p - t[:, None] * d).T)
+            k = int(np.argmax(off))
+            if off[k] > tolerance:
+                on[a + 1 + k] = True
+                todo += [(a, a + 1 + k), (a + 1 + k, b)]
+        return r[on]
+
+    shape = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in batches:
+            out = [[keep(np.array([(p["x"], p["y"]) for p in r])) for r in rs if len(r) > 3] for rs in f.column(1).to_pylist()]
+            rings_ = [[[{"x": x, "y": y} for x, y in r.tolist()] for r in rs if len(r) > 3] for rs in out]
+            yield pa.RecordBatch.from_arrays([f.column(0), pa.array(rings_, shape)], ["region", "rings"])
+
+    d = regions.select(F.col(key).cast("string").alias("region"), F.col(rings).alias("rings")).filter("rings IS NOT NULL")
+    return d.mapInArrow(run, "region string, rings array<array<struct<x: double, y: double>>>")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from freshet.functions import geo, physics, text, times
 from freshet.operators import catalog, clusters, geometry, hierarchy, matching, nearby, series, zonal
 from freshet.operators.regrid import usable
+from freshet.plans import problems
 from freshet.sources.tables import table
 
 QUERIES: dict = {}
@@ -562,6 +563,87 @@ def report_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.components(nodes, links)
 
 
+@query(f"""
+WITH RECURSIVE {_LINKS}, e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), w(s, v) AS (SELECT id, id FROM p UNION SELECT w.s, e.b FROM w JOIN e ON e.a = w.v), c AS (SELECT s AS id, min(v) AS component FROM w GROUP BY 1)
+SELECT component, count(*)::BIGINT AS n, min(p.t) AS begin_time, max(p.t) AS end_time, min(p.y) AS min_lat, max(p.y) AS max_lat FROM c JOIN p USING (id) GROUP BY 1""")
+def cluster_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "site_events").filter("NOT isnan(gage_lat)")
+    p = e.dropna(subset=["gage_lat", "peak_time"]).groupBy("water_year", "peak_time", "gage_lat", "gage_lon").agg(F.min("event_id").alias("id"))
+    c = report_clusters(spark, sf).join(p, "id")
+    return c.groupBy("component").agg(F.count("*").alias("n"), F.min("peak_time").alias("begin_time"), F.max("peak_time").alias("end_time"), F.min("gage_lat").alias("min_lat"), F.max("gage_lat").alias("max_lat"))
+
+
+@query("""
+WITH n AS (SELECT DISTINCT trim(id) AS id, trim(toid) AS toid FROM network), k AS (SELECT DISTINCT trim(id) AS id FROM network WHERE vpuid IN ('01', '02', '08'))
+SELECT n.id AS up, n.toid AS down FROM n WHERE n.id IN (SELECT id FROM k) AND n.toid IN (SELECT id FROM k)""")
+def induced_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Links whose two ends belong to the chosen regions."""
+    n = table(spark, sf, "network").select(F.trim("id").alias("up"), F.trim("toid").alias("down"), "vpuid")
+    k = n.filter(F.col("vpuid").isin("01", "02", "08")).select(F.col("up").alias("k")).distinct()
+    return n.select("up", "down").distinct().join(k, F.col("up") == F.col("k"), "left_semi").join(k, F.col("down") == F.col("k"), "left_semi")
+
+
+# --- storms ----------------------------------------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH {_HOURLY}, w AS (SELECT DISTINCT storm_index, cell_id, time_bucket(INTERVAL 1 HOUR, win_start) AS t0, time_bucket(INTERVAL 1 HOUR, win_end) + INTERVAL 1 HOUR AS t1 FROM event_windows),
+g AS (SELECT w.storm_index, w.t0, w.cell_id, unnest(generate_series(w.t0 - INTERVAL 5 HOUR, w.t1, INTERVAL 1 HOUR)) AS hour FROM w),
+x AS (SELECT g.*, coalesce(h.v, 0) AS v FROM g LEFT JOIN h ON h.cell_id = g.cell_id AND h.hour = g.hour),
+y AS (SELECT storm_index, t0, hour, v AS s1, round(sum(v) OVER (PARTITION BY storm_index ORDER BY hour ROWS 2 PRECEDING), 2) AS s3, round(sum(v) OVER (PARTITION BY storm_index ORDER BY hour ROWS 5 PRECEDING), 2) AS s6 FROM x),
+z AS (SELECT *, max(s6) OVER (PARTITION BY storm_index) AS m6 FROM y WHERE hour >= t0)
+SELECT storm_index, max(s1) AS max1, max(s3) AS max3, max(s6) AS max6, min(hour) FILTER (s6 = m6) AS hour6 FROM z GROUP BY 1""")
+def storm_rain_peaks(spark: SparkSession, sf: str) -> DataFrame:
+    """The highest 1, 3 and 6 hour sums in each storm's hours, looking back 5 hours; missing hours count as 0, the first hour of ties holds."""
+    w = table(spark, sf, "event_windows").select("storm_index", "cell_id", "win_start", "win_end").distinct()
+    g = matching.hours_touched(w, "win_start", "win_end", 5, 1).withColumn("t0", times.floor_to(F.col("win_start"), 3600))
+    x = g.join(_hourly(spark, sf), ["cell_id", "hour"], "left")
+    y = series.rolling_sums(x.withColumn("v", F.coalesce("v", F.lit(0.0))), "storm_index", "hour", "v", (1, 3, 6)).filter("hour >= t0")
+    y = y.select("storm_index", "hour", "s1", r("s3", 2).alias("s3"), r("s6", 2).alias("s6"))
+    return y.groupBy("storm_index").agg(F.max("s1").alias("max1"), F.max("s3").alias("max3"), F.max("s6").alias("max6"), F.min_by("hour", F.struct(-F.col("s6"), F.col("hour"))).alias("hour6"))
+
+
+@query("""
+WITH w AS (SELECT DISTINCT storm_index, cell_id, win_start, win_end FROM event_windows), s AS (SELECT storm_index, cell_id, unnest(generate_series(win_start, win_end - INTERVAL 15 MINUTE, INTERVAL 15 MINUTE)) AS a FROM w),
+g AS (SELECT cell_id, time_bucket(INTERVAL 15 MINUTE, time) AS a, count(*) AS n FROM precip_scans WHERE precip_rate >= 0 AND isfinite(precip_rate) GROUP BY 1, 2)
+SELECT storm_index, count(*)::BIGINT AS steps, count(g.n)::BIGINT AS observed, sum(coalesce(g.n, 0))::BIGINT AS readings, count(g.n) >= 0.9 * count(*) AS passes,
+ array_to_string(list(coalesce(g.n, 0)::VARCHAR ORDER BY s.a), ' ') AS packed FROM s LEFT JOIN g USING (cell_id, a) GROUP BY 1""")
+def window_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Steps, observed steps and readings of each window, whether nine tenths are observed, and the counts packed in order."""
+    d = problems.p3_series(spark, sf)
+    g = d.groupBy("storm_index").agg(F.count("*").alias("steps"), F.count_if(F.col("n_readings") > 0).alias("observed"), F.sum("n_readings").alias("readings"), F.array_sort(F.collect_list(F.struct("step", "n_readings"))).alias("p"))
+    packed = F.array_join(F.transform("p", lambda x: x["n_readings"].cast("string")), " ")
+    return g.select("storm_index", "steps", "observed", "readings", (F.col("observed") >= 0.9 * F.col("steps")).alias("passes"), packed.alias("packed"))
+
+
+@query()
+def episode_footprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Units that half a degree around each episode's corner touches: shared area, share of the unit, and whether it is kept (1 percent or more)."""
+    e = table(spark, sf, "episodes").select("episode_id", "min_lat", "min_lon").distinct().filter(nearby.has_place(F.col("min_lat"), F.col("min_lon")))
+    at = lambda dx, dy: F.struct((F.col("min_lon") + dx).alias("x"), (F.col("min_lat") + dy).alias("y"))
+    e = e.withColumn("rings", F.array(F.array(at(0, 0), at(0.5, 0), at(0.5, 0.5), at(0, 0.5), at(0, 0))))
+    units = table(spark, sf, "huc8_units").select("huc8", "rings").dropDuplicates(["huc8"])
+    o = geometry.overlaps(e, units, ("episode_id", "rings"), ("huc8", "rings"), 1.0)
+    a = geometry.region_area(units, "huc8", "rings").select(F.col("region").alias("right_key"), F.col("area").alias("whole"))
+    d = o.join(a, "right_key").withColumn("share", F.col("area") / F.col("whole"))
+    return d.select(F.col("left_key").alias("episode_id"), F.col("right_key").alias("huc8"), r("area", 8).alias("area"), r("share", 6).alias("share"), (F.col("share") >= 0.01).cast("int").alias("kept"))
+
+
+@query()
+def simple_outlines(spark: SparkSession, sf: str) -> DataFrame:
+    """Unit outlines with vertices left out that lie within a twentieth of a degree of the line kept."""
+    return geometry.simplify(table(spark, sf, "huc8_units"), "huc8", "rings", 0.05)
+
+
+@query("""
+SELECT DISTINCT episode_id, states, damage_usd FROM episodes WHERE list_has_any(string_split(states, ','), ['TX', 'OK', 'CO']) AND damage_usd > 0 AND regexp_matches(lower(episode_narrative), 'rain|storm') AND min_lat BETWEEN 25 AND 45""")
+def episode_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Any of some states, damage, a word in the narrative, and a range of latitudes."""
+    e = table(spark, sf, "episodes")
+    wanted = F.arrays_overlap(F.split("states", ","), F.array(*map(F.lit, ("TX", "OK", "CO")))) & (F.col("damage_usd") > 0)
+    return e.filter(wanted & text.has_word(F.col("episode_narrative"), "rain|storm") & F.col("min_lat").between(25, 45)).select("episode_id", "states", "damage_usd").distinct()
+
+
 # --- catalog ---------------------------------------------------------------------------------------------------------------
 
 

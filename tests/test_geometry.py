@@ -56,3 +56,20 @@ def test_interval_set_match(spark):
     r = spark.createDataFrame([(1, ts("1 09:00:00"), "c1", 0.0, 0.0), (2, ts("1 07:00:00"), "c1", 0.0, 0.0), (3, ts("1 18:00:00"), "", 10.2, 20.0), (4, ts("1 12:00:00"), None, 11.0, 20.0), (5, ts("2 12:00:00"), "c2", 0.0, 0.0), (6, ts("1 18:00:01"), "c1", 0.0, 0.0)], "report_id int, t string, county string, lat double, lon double").selectExpr("report_id", "cast(t AS timestamp_ntz) AS t", "county", "lat", "lon")
     e = spark.createDataFrame([("e", ts("1 12:00:00"), ts("1 12:00:00"), ["c1", "c1", "c2"], (9.0, 19.0, 10.0, 21.0))], "episode_id string, t0 string, t1 string, counties array<string>, box struct<min_lat double, min_lon double, max_lat double, max_lon double>").selectExpr("episode_id", "cast(t0 AS timestamp_ntz) AS t0", "cast(t1 AS timestamp_ntz) AS t1", "counties", "box")
     assert sorted(x.report_id for x in matching.interval_set_match(r, e).collect()) == [1, 3]
+
+
+def test_overlaps_and_simplify(spark):
+    shapes = {"l": [L], "holed": [L, HOLE], "far": [[(9.0, 9.0), (9.5, 9.0), (9.0, 9.5), (9.0, 9.0)]], "tri": [[(-1.0, 0.0), (2.0, 0.5), (0.5, 2.5), (-1.0, 0.0)]]}
+    a = spark.createDataFrame([*shapes.items(), ("none", None), ("empty", [])], RINGS)
+    got = {(r.left_key, r.right_key): r.area for r in geometry.overlaps(a, a, ("huc", "rings"), ("huc", "rings"), 0.7).collect()}
+    assert not any("far" in k and k != ("far", "far") for k in got)
+    area = {r.region: r.area for r in geometry.region_area(a, "huc", "rings").collect()}
+    for k in shapes:
+        assert abs(got[k, k] - area[k]) < 1e-9
+    g = (np.arange(200) + 0.5) / 50 - 1
+    for p, q in (("tri", "l"), ("tri", "holed"), ("l", "holed")):
+        want = sum(inside(x, y, shapes[p]) and inside(x, y, shapes[q]) for x in g for y in g) / 2500
+        assert abs(got[p, q] - want) < 0.03 and abs(got[p, q] - got[q, p]) < 1e-9
+    ring = [(0.0, 0.0), (1.0, 0.01), (2.0, 0.0), (2.0, 2.0), (1.0, 1.2), (0.0, 2.0), (0.0, 0.0)]
+    s = geometry.simplify(spark.createDataFrame([("a", [ring])], RINGS), "huc", "rings", 0.1).first()
+    assert [tuple(p) for p in s.rings[0]] == [p for p in ring if p != (1.0, 0.01)]
