@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.times import micros, with_halo
+from freshet.session import cut
 
 HOUR = 3600 * 1_000_000
 DAY = 24 * HOUR
@@ -130,7 +131,7 @@ def implausible(df: DataFrame, id: str, source: str, time: str, value: str, rule
 
     if not rules.log_fence:  # only these rows are held against the fences
         b = b.filter(~possible | F.col("_stuck") | (F.col("_up") > least) | (F.col("_down") > least))
-    f = fences(r, rules)
+    f = cut(fences(r, rules))  # a few rows a source: merged once, and joined by their true size
     part, whole = f.filter("_h IS NOT NULL").select("_s", "_h", F.struct("q1", "q3").alias("fp")), f.filter("_h IS NULL").select("_s", F.struct("q1", "q3").alias("fw"))
     b = b.withColumn("_h", _bucket(F.col("_t"), rules)).join(part, ["_s", "_h"], "left").join(whole, "_s", "left").withColumn("f", F.coalesce("fp", "fw"))
     iqr = F.col("f.q3") - F.col("f.q1")
