@@ -37,7 +37,9 @@ def p2_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_series(spark: SparkSession, sf: str) -> DataFrame:
-    return regrid(table(spark, sf, "precip_scans"), table(spark, sf, "event_windows"), "cell_id", "time", "precip_rate", "storm_index", "win_start", "win_end")
+    """Every 15-minute step of every window, amounts in mm to the nanometre."""
+    d = regrid(table(spark, sf, "precip_scans"), table(spark, sf, "event_windows"), "cell_id", "time", "precip_rate", "storm_index", "win_start", "win_end")
+    return d.withColumns({"amount": F.round("amount", 6), "covered": F.round("covered", 6)})
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,6 +88,25 @@ n AS (SELECT up.node AS id, count(DISTINCT d.divide_id) AS n FROM up JOIN networ
 SELECT r.id, CASE WHEN bad.id IS NULL THEN roots.root_id ELSE 'CYCLE' END AS root_id,
   CASE WHEN bad.id IS NULL THEN roots.depth ELSE -1 END::BIGINT AS depth, CASE WHEN bad.id IS NULL THEN n.n ELSE -1 END::BIGINT AS n_up_divides
 FROM r LEFT JOIN roots USING (id) LEFT JOIN n USING (id) LEFT JOIN bad USING (id)""",
+    "p2_paths": """
+WITH RECURSIVE r AS (SELECT trim(id) AS id, min(trim(toid)) FILTER (WHERE trim(toid) IN (SELECT trim(id) FROM network)) AS p FROM network WHERE id IS NOT NULL GROUP BY 1),
+down(id, path) AS (SELECT id, id FROM r WHERE p IS NULL UNION ALL SELECT r.id, r.id || '>' || down.path FROM down JOIN r ON r.p = down.id)
+SELECT r.id, down.path FROM r LEFT JOIN down USING (id)""",
+    "p4_found": """
+WITH c AS (SELECT DISTINCT cluster_id, centroid_lat AS y, centroid_lon AS x FROM storm_clusters WHERE NOT isnan(centroid_lat) AND NOT isnan(centroid_lon) AND abs(centroid_lat) <= 90 AND abs(centroid_lon) <= 180 AND NOT (centroid_lat = 0 AND centroid_lon = 0)),
+g AS (SELECT DISTINCT STAID, LAT_GAGE AS y, LNG_GAGE AS x FROM gages WHERE NOT isnan(LAT_GAGE) AND NOT isnan(LNG_GAGE) AND abs(LAT_GAGE) <= 90 AND abs(LNG_GAGE) <= 180 AND NOT (LAT_GAGE = 0 AND LNG_GAGE = 0)),
+e AS (SELECT huc8, r[i].x AS x1, r[i].y AS y1, r[i + 1].x AS x2, r[i + 1].y AS y2 FROM (SELECT huc8, r, unnest(range(1, len(r))) AS i FROM (SELECT huc8, unnest(rings) AS r FROM huc8_units)))
+SELECT DISTINCT c.cluster_id, 'gage' AS relation, g.STAID AS target_id FROM c JOIN g ON abs(c.y - g.y) < 0.1
+ WHERE 2 * 6371 * asin(sqrt(least(1, pow(sin(radians(g.y - c.y) / 2), 2) + cos(radians(c.y)) * cos(radians(g.y)) * pow(sin(radians(g.x - c.x) / 2), 2)))) <= 10
+UNION ALL SELECT DISTINCT cluster_id, 'huc8', huc8 FROM (SELECT c.cluster_id, c.x, c.y, e.huc8 FROM c JOIN e ON (e.x1 <= c.x) <> (e.x2 <= c.x) WHERE e.y1 + (c.x - e.x1) * (e.y2 - e.y1) / (e.x2 - e.x1) > c.y GROUP BY ALL HAVING count(*) % 2 = 1)""",
+    "p3_series": """
+WITH w AS (SELECT DISTINCT storm_index, cell_id, win_start, win_end FROM event_windows), s AS (SELECT *, unnest(range(0, datediff('minute', win_start, win_end) // 15)) AS step FROM w),
+u AS (SELECT cell_id, epoch_us(time) AS t, precip_rate::DOUBLE AS v FROM precip_scans WHERE precip_rate >= 0 AND isfinite(precip_rate)), l AS (SELECT *, lag(t) OVER (PARTITION BY cell_id ORDER BY t, v) AS t0 FROM u),
+x AS (SELECT cell_id, t, v, CASE WHEN t - t0 <= 3600000000 THEN t0 END AS t0 FROM l), b AS (SELECT *, unnest(range(coalesce(t0, t) // 900000000, t // 900000000 + 1)) AS bin FROM x),
+o AS (SELECT *, CASE WHEN t0 IS NOT NULL THEN greatest(least(t, (bin + 1) * 900000000) - greatest(t0, bin * 900000000), 0) END AS part FROM b),
+g AS (SELECT cell_id, bin, count(*) FILTER (bin = t // 900000000) AS n, sum(part * v / 3600000000.0) AS amount, sum(part) / 900000000.0 AS covered FROM o GROUP BY 1, 2)
+SELECT s.storm_index, s.step::BIGINT AS step, s.win_start + to_minutes(15 * s.step) AS step_start, coalesce(g.n, 0)::BIGINT AS n_readings, round(g.amount, 6) AS amount, round(coalesce(g.covered, 0), 6)::DOUBLE AS covered,
+ CASE WHEN g.n > 0 THEN 'observed' WHEN g.covered > 0 THEN 'filled' ELSE 'empty' END AS status FROM s LEFT JOIN g ON g.cell_id = s.cell_id AND g.bin = epoch_us(s.win_start) // 900000000 + s.step""",
     "p3_found": """
 WITH w AS (SELECT DISTINCT storm_index, cell_id, win_start, win_end FROM event_windows WHERE cell_id IS NOT NULL AND win_start IS NOT NULL AND win_end IS NOT NULL),
 s AS (SELECT storm_index, cell_id, unnest(range(0, datediff('minute', win_start, win_end) // 15)) AS step, win_start FROM w),

@@ -509,7 +509,14 @@ def gages_nearby(spark: SparkSession, sf: str) -> DataFrame:
     return nearby.near(g, g, 15.0, at, at).filter("left_key < right_key").select(F.col("left_key").alias("a"), F.col("right_key").alias("b"), r("km").alias("km"))
 
 
-@query()
+@query("""
+WITH k AS (SELECT 6378137.0::DOUBLE AS a, sqrt(2 / 298.257222101 - pow(1 / 298.257222101, 2))::DOUBLE AS e), s AS (SELECT *, sin(radians(29.5)) AS s1, sin(radians(45.5)) AS s2, sin(radians(23)) AS s0 FROM k),
+q AS (SELECT a, e, cos(radians(29.5)) / sqrt(1 - pow(e * s1, 2)) AS m1, cos(radians(45.5)) / sqrt(1 - pow(e * s2, 2)) AS m2, (1 - e * e) * (s1 / (1 - pow(e * s1, 2)) - ln((1 - e * s1) / (1 + e * s1)) / (2 * e)) AS q1,
+ (1 - e * e) * (s2 / (1 - pow(e * s2, 2)) - ln((1 - e * s2) / (1 + e * s2)) / (2 * e)) AS q2, (1 - e * e) * (s0 / (1 - pow(e * s0, 2)) - ln((1 - e * s0) / (1 + e * s0)) / (2 * e)) AS q0 FROM s),
+n AS (SELECT *, (m1 * m1 - m2 * m2) / (q2 - q1) AS n FROM q), c AS (SELECT *, m1 * m1 + n * q1 AS c FROM n),
+g AS (SELECT DISTINCT STAID, sin(radians(LAT_GAGE)) AS sl, radians(LNG_GAGE + 96) AS d FROM gages WHERE NOT isnan(LAT_GAGE) AND NOT isnan(LNG_GAGE) AND abs(LAT_GAGE) <= 90 AND abs(LNG_GAGE) <= 180 AND NOT (LAT_GAGE = 0 AND LNG_GAGE = 0)),
+p AS (SELECT STAID, n * d AS th, a * sqrt(c.c - n * (1 - e * e) * (sl / (1 - pow(e * sl, 2)) - ln((1 - e * sl) / (1 + e * sl)) / (2 * e))) / n AS rho, a * sqrt(c.c - n * q0) / n AS rho0 FROM g, c)
+SELECT DISTINCT STAID, round(rho * sin(th), 3) AS x, round(rho0 - rho * cos(th), 3) AS y FROM p""")
 def equal_area_positions(spark: SparkSession, sf: str) -> DataFrame:
     x, y = geo.equal_area_xy(F.col("LAT_GAGE"), F.col("LNG_GAGE"))
     return table(spark, sf, "gages").filter(nearby.has_place(F.col("LAT_GAGE"), F.col("LNG_GAGE"))).select("STAID", r(x, 3).alias("x"), r(y, 3).alias("y")).distinct()
