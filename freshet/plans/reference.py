@@ -353,15 +353,18 @@ def packed_offsets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT DISTINCT event_id, CASE WHEN length(s) >= 8 THEN s ELSE lpad(s, 8, '0') END AS site, peak_time FROM (SELECT *, regexp_replace(trim(STAID), '\\.0$', '') AS s FROM site_events)), w AS (SELECT DISTINCT * FROM event_windows)
-SELECT DISTINCT e.event_id AS report_id, w.storm_index AS episode_id FROM e JOIN w ON w.recording_gage_STAID = e.site AND e.peak_time BETWEEN w.win_start - INTERVAL 3 HOUR AND w.win_end + INTERVAL 6 HOUR""")
+WITH r AS (SELECT event_id AS report_id, ts AS t, CASE WHEN user_id % 7 = 0 THEN '' ELSE (user_id % 50)::VARCHAR END AS county, (user_id % 60)::DOUBLE AS lat, (user_id % 90)::DOUBLE AS lon FROM events WHERE event_type = 'error'),
+e AS (SELECT event_id AS episode_id, ts AS t0, ts + INTERVAL 1 HOUR AS t1, [(user_id % 50)::VARCHAR, ((user_id + 1) % 50)::VARCHAR] AS counties, user_id % 60 - 1 AS a, user_id % 90 - 1 AS b, user_id % 60 + 1 AS c, user_id % 90 + 1 AS d FROM events WHERE event_type = 'purchase')
+SELECT DISTINCT report_id, episode_id FROM r JOIN e ON r.t BETWEEN e.t0 - INTERVAL 3 HOUR AND e.t1 + INTERVAL 6 HOUR
+WHERE (county <> '' AND list_contains(counties, county)) OR (county = '' AND lat BETWEEN a - 0.25 AND c + 0.25 AND lon BETWEEN b - 0.25 AND d + 0.25)""")
 def interval_set_matches(spark: SparkSession, sf: str) -> DataFrame:
-    """Flood peaks in the windows of the storms that their gage recorded."""
-    e = table(spark, sf, "site_events").select(F.col("event_id").alias("report_id"), F.col("peak_time").alias("t"), text.site_id(F.col("STAID")).alias("county"), F.col("gage_lat").alias("lat"), F.col("gage_lon").alias("lon")).distinct()
-    none = F.lit(None).cast("double")
-    box = F.struct(none.alias("min_lat"), none.alias("min_lon"), none.alias("max_lat"), none.alias("max_lon"))
-    w = table(spark, sf, "event_windows").distinct().select(F.col("storm_index").alias("episode_id"), F.col("win_start").alias("t0"), F.col("win_end").alias("t1"), F.array("recording_gage_STAID").alias("counties"), box.alias("box"))
-    return matching.interval_set_match(e, w)
+    """Reports in the time window and one of the counties of episodes, or in their box where a report has no county."""
+    e, u = table(spark, sf, "events"), F.col("user_id")
+    county = F.when(u % 7 == 0, "").otherwise((u % 50).cast("string"))
+    rep = e.filter("event_type = 'error'").select(F.col("event_id").alias("report_id"), F.col("ts").alias("t"), county.alias("county"), (u % 60).cast("double").alias("lat"), (u % 90).cast("double").alias("lon"))
+    box = F.struct((u % 60 - 1).cast("double").alias("min_lat"), (u % 90 - 1).cast("double").alias("min_lon"), (u % 60 + 1).cast("double").alias("max_lat"), (u % 90 + 1).cast("double").alias("max_lon"))
+    ep = e.filter("event_type = 'purchase'").select(F.col("event_id").alias("episode_id"), F.col("ts").alias("t0"), (F.col("ts") + F.expr("INTERVAL '1' HOUR")).alias("t1"), F.array((u % 50).cast("string"), ((u + 1) % 50).cast("string")).alias("counties"), box.alias("box"))
+    return matching.interval_set_match(rep, ep)
 
 
 @query("""
