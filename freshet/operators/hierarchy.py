@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.session import cut
+from freshet.session import cut, partitions
 
 # Texts that stand for "no parent".
 NO_PARENT = ("", "nan", "None", "wb-0")
@@ -27,6 +27,11 @@ NO_PARENT = ("", "nan", "None", "wb-0")
 FAMILY_SPLITS = 64
 #: Steps of a tour that one task handles together.
 BLOCK_STEPS = 1 << 16
+#: Neighbouring nodes of a tour that are kept in one row, and levels of depth whose nodes ask the same copy of such a row.
+RUN_NODES = 256
+COPY_LEVELS = 1 << 12
+#: Pairs that one task makes, about.
+TASK_PAIRS = 1 << 22
 CYCLE = "CYCLE"
 
 
@@ -219,12 +224,41 @@ def paths(h: Hierarchy) -> DataFrame:
     return found.unionByName(h.nodes.filter("cyclic").select("id", F.lit(None).cast("array<string>").alias("path")))
 
 
+def _under(h: Hierarchy, of: DataFrame, rows: DataFrame, id: str) -> DataFrame:
+    """id and the fields of rows(nid, rows), arrays of structs, for every node under each of of(id), the node itself included.
+
+    Nodes are numbered in the order in which they are entered: before that come as many enters as leaves, and `depth` enters
+    more. So the nodes under a node are one range of numbers, and only true pairs are made: the numbers are cut into runs, a
+    range asks the runs that it meets, and takes its slice of each. Nodes that start before a run and reach into it lie on one
+    path, so their depths differ, and a run with a copy for each COPY_LEVELS levels is asked by few nodes a copy.
+    """
+    nodes = h.nodes.filter("NOT cyclic").select("nid", "id", "root", "depth", F.expr("(enter + depth) div 2").alias("n"), F.expr("(leave - enter + 1) div 2").alias("m"))
+    want = cut(of.select(_clean(F.col(id).cast("string")).alias("id")).distinct().join(nodes.drop("nid"), "id"))
+    tasks = max(partitions(h.nodes.sparkSession), (want.agg(F.sum("m")).first()[0] or 0) // TASK_PAIRS + 1)
+    asks = want.withColumn("run", F.explode(F.expr(f"sequence(n div {RUN_NODES}, (n + m - 1) div {RUN_NODES})"))).withColumn("copy", F.expr(f"depth div {COPY_LEVELS}"))
+    asks = asks.withColumn("lo", F.expr(f"greatest(n - run * {RUN_NODES}, 0L)")).withColumn("many", F.expr(f"least(n + m - run * {RUN_NODES}, {RUN_NODES}L) - lo"))
+    asks = asks.select("id", "root", "run", "copy", F.col("lo").cast("int").alias("lo"), F.col("many").cast("int").alias("many"))
+    runs = nodes.drop("id").join(rows, "nid").groupBy("root", F.expr(f"n div {RUN_NODES}").alias("run")).agg(F.array_sort(F.collect_list(F.struct("n", "rows"))).alias("run_rows"), F.max("depth").alias("deepest"))
+    runs = runs.select("root", "run", F.expr("transform(run_rows, x -> x.rows)").alias("run_rows"), F.explode(F.expr(f"sequence(0L, deepest div {COPY_LEVELS})")).alias("copy"))
+    at = ["root", "run", "copy"]
+    pairs = asks.repartition(tasks, *at).join(runs.repartition(tasks, *at), at)
+    return pairs.select("id", F.inline(F.flatten(F.slice("run_rows", F.col("lo") + 1, F.col("many")))))
+
+
 def descendants(h: Hierarchy, of: DataFrame, id: str = "id") -> DataFrame:
-    """(id, descendant): every node under each of of(id), the node itself included.
+    """(id, descendant): every node under each of of(id), the node itself included; none for cyclic nodes. See _under."""
+    return _under(h, of, h.nodes.select("nid", F.array(F.struct(F.col("id").alias("descendant"))).alias("rows")), id)
+
+
+def upstream(h: Hierarchy, links: DataFrame, value: str = "divide_id", id: str = "id") -> DataFrame:
+    """(id, descendant, value): every node of links with all nodes under it, itself included, and their values.
 
-    An interval asks the blocks of the tour that it spans, so the join is an equality on (root, block).
+    The defined cases: a node with several distinct values has a row for each, one without any has a row with null; a node in a
+    circle or leading into one, whose `summary` has -1, has one row without descendant and value.
     """
-    want = of.select(_clean(F.col(id).cast("string")).alias("id")).distinct().join(h.nodes.filter("NOT cyclic"), "id").select("id", "root", "enter", "leave")
-    want = want.withColumn("block", F.explode(F.expr(f"sequence(enter div {BLOCK_STEPS}, leave div {BLOCK_STEPS})")))
-    at = h.nodes.filter("NOT cyclic").select("root", F.col("id").alias("descendant"), F.col("enter").alias("pos"), F.expr(f"enter div {BLOCK_STEPS}").alias("block"))
-    return at.join(want, ["root", "block"]).filter("pos BETWEEN enter AND leave").select("id", "descendant")
+    raw = links.select(_clean(F.col(id).cast("string")).alias("id"), F.col(value).alias("value"))
+    values = raw.filter("id IS NOT NULL").groupBy("id").agg(F.collect_set("value").alias("values"))
+    rows = h.nodes.select("nid", "id").join(values, "id")
+    rows = rows.select("nid", F.expr("transform(if(size(values) = 0, array(null), values), x -> struct(id AS descendant, x AS value))").alias("rows"))
+    none = h.nodes.filter("cyclic").select("id", F.lit(None).cast("string").alias("descendant"), F.lit(None).cast(raw.schema["value"].dataType).alias("value"))
+    return _under(h, links, rows, id).unionByName(none)

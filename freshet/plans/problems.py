@@ -36,6 +36,12 @@ def p2_paths(spark: SparkSession, sf: str) -> DataFrame:
     return hierarchy.paths(h).select("id", F.array_join("path", ">").alias("path"))
 
 
+def p2_upstream(spark: SparkSession, sf: str) -> DataFrame:
+    """Everything upstream of every id, itself included, with its divide_id; see hierarchy.upstream."""
+    n = table(spark, sf, "network")
+    return hierarchy.upstream(hierarchy.build_hierarchy(n), n).withColumnRenamed("value", "divide_id")
+
+
 def p3_series(spark: SparkSession, sf: str) -> DataFrame:
     """Every 15-minute step of every window, amounts in mm to the nanometre."""
     d = regrid(table(spark, sf, "precip_scans"), table(spark, sf, "event_windows"), "cell_id", "time", "precip_rate", "storm_index", "win_start", "win_end")
@@ -74,7 +80,7 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("table_name", "row_key", "field_name", F.date_format("utc", "yyyy-MM-dd HH:mm:ss").alias("utc_text")).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_reasons": p1_reasons, "p2_found": p2_found, "p2_paths": p2_paths, "p3_found": p3_found, "p3_series": p3_series, "p4_found": p4_found, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p1_reasons": p1_reasons, "p2_found": p2_found, "p2_paths": p2_paths, "p2_upstream": p2_upstream, "p3_found": p3_found, "p3_series": p3_series, "p4_found": p4_found, "p5_found": p5_found}
 
 SQL = {
     "p2_found": """
@@ -92,6 +98,13 @@ FROM r LEFT JOIN roots USING (id) LEFT JOIN n USING (id) LEFT JOIN bad USING (id
 WITH RECURSIVE r AS (SELECT trim(id) AS id, min(trim(toid)) FILTER (WHERE trim(toid) IN (SELECT trim(id) FROM network)) AS p FROM network WHERE id IS NOT NULL GROUP BY 1),
 down(id, path) AS (SELECT id, id FROM r WHERE p IS NULL UNION ALL SELECT r.id, r.id || '>' || down.path FROM down JOIN r ON r.p = down.id)
 SELECT r.id, down.path FROM r LEFT JOIN down USING (id)""",
+    "p2_upstream": """
+WITH RECURSIVE r AS (SELECT trim(id) AS id, min(trim(toid)) FILTER (WHERE trim(toid) IN (SELECT trim(id) FROM network)) AS p FROM network WHERE id IS NOT NULL GROUP BY 1),
+free(id) AS (SELECT id FROM r WHERE p IS NULL UNION ALL SELECT r.id FROM free JOIN r ON r.p = free.id),
+up(id, node) AS (SELECT id, id FROM free UNION ALL SELECT up.id, r.p FROM up JOIN r ON r.id = up.node WHERE r.p IS NOT NULL),
+d AS (SELECT DISTINCT trim(id) AS id, divide_id FROM network WHERE divide_id IS NOT NULL)
+SELECT up.node AS id, up.id AS descendant, d.divide_id FROM up LEFT JOIN d ON d.id = up.id
+UNION ALL SELECT id, NULL, NULL FROM r WHERE id NOT IN (SELECT id FROM free)""",
     "p4_found": """
 WITH c AS (SELECT DISTINCT cluster_id, centroid_lat AS y, centroid_lon AS x FROM storm_clusters WHERE NOT isnan(centroid_lat) AND NOT isnan(centroid_lon) AND abs(centroid_lat) <= 90 AND abs(centroid_lon) <= 180 AND NOT (centroid_lat = 0 AND centroid_lon = 0)),
 g AS (SELECT DISTINCT STAID, LAT_GAGE AS y, LNG_GAGE AS x FROM gages WHERE NOT isnan(LAT_GAGE) AND NOT isnan(LNG_GAGE) AND abs(LAT_GAGE) <= 90 AND abs(LNG_GAGE) <= 180 AND NOT (LAT_GAGE = 0 AND LNG_GAGE = 0)),

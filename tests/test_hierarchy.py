@@ -56,6 +56,36 @@ def test_random_forest_with_repeats_and_circles(spark, monkeypatch):
     check(spark, rows)
 
 
+def everything(spark, rows):
+    df = spark.createDataFrame(rows, "id string, toid string, divide_id string").selectExpr("*", "1 AS value", "2 AS descendant", "3 AS n")
+    _, path_of = brute(rows)
+    div = {}
+    for i, _, d in rows:
+        if i is not None:
+            div.setdefault(i.strip(), set()).update([d] if d is not None else [])
+    want = [(u, i, d) for i, path in path_of.items() for u in path or [] for d in div[i] or [None]] + [(i, None, None) for i, path in path_of.items() if path is None]
+    got = [(r.id, r.descendant, r.value) for r in H.upstream(H.build_hierarchy(df), df).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_upstream_with_values(spark, monkeypatch):
+    monkeypatch.setattr(H, "RUN_NODES", 3)
+    monkeypatch.setattr(H, "COPY_LEVELS", 2)
+    monkeypatch.setattr(H, "TASK_PAIRS", 10)
+    rng = random.Random(6)
+    rows = [(f"n{i}", f" n{rng.randint(max(0, i - 4), max(0, i - 1))} " if i else "nan", rng.choice([f"d{i}", f"d{i // 2}", None])) for i in range(70)]
+    rows += [("n5", None, "second"), ("n6", None, None), (None, "n1", "x"), ("dead", "nowhere", "e"), (" blank ", "n1", None)]
+    rows += [("x", "y", "d5"), ("y", "x", "d6"), ("in", "x", None), ("self", "self", "d9")]
+    everything(spark, rows)
+
+
+def test_descendants_of_some_in_a_chain(spark):
+    df = spark.range(3000).selectExpr("cast(id AS string) AS id", "cast(id - 1 AS string) AS toid", "'d' AS divide_id").cache()
+    h = H.build_hierarchy(df)
+    some = df.filter("id IN ('2990', '2999', '0')")
+    assert {r.id: r["count"] for r in H.descendants(h, some).groupBy("id").count().collect()} == {"0": 3000, "2990": 10, "2999": 1}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "id string, toid string, divide_id string")
     assert H.summary(df).collect() == []
