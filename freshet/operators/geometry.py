@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -12,6 +14,10 @@ from pyspark.sql import functions as F
 
 from freshet.functions.geo import ring_area
 from freshet.operators.nearby import outline_edges
+from freshet.session import cut
+
+#: Distances of lines that are equal to so many digits tie.
+TIE_DIGITS = 8
 
 
 def cell_fractions(regions: DataFrame, key: str, rings: str, step: float) -> DataFrame:
@@ -87,12 +93,8 @@ def region_area(regions: DataFrame, key: str, rings: str) -> DataFrame:
     return s.groupBy("region").agg(F.sum("s").alias("area"), *[getattr(F, m)(f"{m}_{c}").alias(f"{m}_{c}") for m in ("min", "max") for c in "xy"])
 
 
-def nearest_line(points: DataFrame, segments: DataFrame, bucket: float, reach: int = 1) -> DataFrame:
-    """(point_id, line_id, distance): the segment (line_id, x1, y1, x2, y2) nearest to each point (point_id, x, y), the least line_id of ties.
-
-    Segments are laid into buckets of the plane that their box touches, points look at their own and the `reach` next ones: a point farther than
-    reach * bucket from every line has no row.
-    """
+def _in_reach(points: DataFrame, segments: DataFrame, bucket: float, reach: int) -> DataFrame:
+    """The points with each segment at most reach * bucket away, and its distance."""
     cells = lambda lo, hi: F.sequence(F.floor(lo / bucket), F.floor(hi / bucket))
     s = segments.withColumn("bx", F.explode(cells(F.least("x1", "x2"), F.greatest("x1", "x2")))).withColumn("by", F.explode(cells(F.least("y1", "y2"), F.greatest("y1", "y2"))))
     p = points.withColumn("bx", F.explode(F.sequence(F.floor(F.col("x") / bucket) - reach, F.floor(F.col("x") / bucket) + reach)))
@@ -101,11 +103,38 @@ def nearest_line(points: DataFrame, segments: DataFrame, bucket: float, reach: i
     t = F.coalesce(F.try_divide((F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy, dx * dx + dy * dy), F.lit(0.0))
     t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
     d = F.hypot(F.col("x") - (F.col("x1") + t * dx), F.col("y") - (F.col("y1") + t * dy))
-    j = p.join(s, ["bx", "by"]).withColumn("distance", d).filter(F.col("distance") <= reach * bucket)
+    return p.join(s, ["bx", "by"]).withColumn("distance", d).filter(F.col("distance") <= reach * bucket)
+
+
+def nearest_line(points: DataFrame, segments: DataFrame, bucket: float, reach: int = 1) -> DataFrame:
+    """(point_id, line_id, distance): the segment (line_id, x1, y1, x2, y2) nearest to each point (point_id, x, y), the least line_id of ties.
+
+    Segments are laid into buckets of the plane that their box touches, points look at their own and the `reach` next ones: a point farther than
+    reach * bucket from every line has no row.
+    """
+    j = _in_reach(points, segments, bucket, reach)
     m = j.groupBy("point_id").agg(F.min(F.struct("distance", "line_id")).alias("m"))
     return m.select("point_id", "m.line_id", "m.distance")
 
 
+def nearest_line_all(points: DataFrame, segments: DataFrame, bucket: float) -> DataFrame:
+    """(point_id, line_id, distance) as nearest_line, at any distance: one row for each row of points.
+
+    Places that have no line within a bucket are asked again with buckets of four times the size, until each has one. Points without finite
+    coordinates, and all if there are no segments with such, have no line (nulls). Of distances equal to TIE_DIGITS digits the least line_id holds.
+    """
+    there = lambda *names: reduce(and_, [F.coalesce(F.abs(c) < float("inf"), F.lit(False)) for c in map(F.col, names)])
+    s = cut(segments.select("line_id", "x1", "y1", "x2", "y2").filter(there("x1", "y1", "x2", "y2")))
+    left = cut(points.select("x", "y").filter(there("x", "y")).distinct())
+    found = s.limit(0).select(F.col("x1").alias("x"), F.col("y1").alias("y"), "line_id", F.col("x1").alias("distance"))
+    while not (left.isEmpty() or s.isEmpty()):
+        near = _in_reach(left, s, bucket, 1).groupBy("x", "y").agg(F.min(F.struct(F.round("distance", TIE_DIGITS).alias("d"), "line_id")).alias("m"), F.min("distance").alias("distance"))
+        got = cut(near.select("x", "y", "m.line_id", "distance"))
+        found = found.unionByName(got)
+        left, bucket = cut(left.join(got.select("x", "y"), ["x", "y"], "left_anti"), left), bucket * 4
+    return points.select("point_id", "x", "y").join(found, ["x", "y"], "left").select("point_id", "line_id", "distance")
+
+
 def _common_area(a: list, b: list) -> float:
     """Area that two sets of even-odd rings share: between neighbouring vertices and crossings, lengths along y change linearly."""
     edges = []

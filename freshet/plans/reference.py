@@ -501,6 +501,27 @@ def nearest_outline(spark: SparkSession, sf: str) -> DataFrame:
     return geometry.nearest_line(g, e, 1.0).select(F.col("point_id.STAID").alias("point_id"), r("distance", 8).alias("distance"))
 
 
+@query("""
+WITH e AS (SELECT huc8, r[i].x AS ax, r[i].y AS ay, r[i + 1].x AS bx, r[i + 1].y AS by_ FROM (SELECT huc8, r, unnest(range(1, len(r))) AS i FROM (SELECT huc8, unnest(rings) AS r FROM huc8_units))),
+o AS (SELECT *, ax < bx OR (ax = bx AND ay <= by_) AS on_ FROM e), s AS (SELECT DISTINCT huc8, CASE WHEN on_ THEN ax ELSE bx END AS x1, CASE WHEN on_ THEN ay ELSE by_ END AS y1, CASE WHEN on_ THEN bx ELSE ax END AS x2, CASE WHEN on_ THEN by_ ELSE ay END AS y2 FROM o),
+g AS (SELECT DISTINCT STAID, LNG_GAGE AS x, LAT_GAGE AS y FROM gages), q AS (SELECT DISTINCT x, y FROM g WHERE NOT isnan(x) AND NOT isnan(y) AND abs(y) <= 90 AND abs(x) <= 180 AND NOT (x = 0 AND y = 0)),
+d AS (SELECT x, y, huc8, x1, y1, x2, y2, least(greatest(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / nullif((x2 - x1) ** 2 + (y2 - y1) ** 2, 0), 0), 1) AS t FROM q, s),
+m AS (SELECT x, y, huc8, min(round(sqrt((x - (x1 + t * (x2 - x1))) ** 2 + (y - (y1 + t * (y2 - y1))) ** 2), 8)) AS distance FROM d GROUP BY 1, 2, 3),
+n AS (SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY distance, huc8) AS k FROM m)
+SELECT g.STAID AS point_id, n.huc8 AS line_id, n.distance FROM g LEFT JOIN n ON n.x = g.x AND n.y = g.y AND n.k = 1""")
+def nearest_outline_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest unit's outline and its distance in degrees for each gage and place, however far; nulls for gages without a place."""
+    at = lambda k: F.struct(F.col("r")[k]["x"].alias("x"), F.col("r")[k]["y"].alias("y"))
+    ring = table(spark, sf, "huc8_units").select(F.col("huc8").alias("line_id"), F.explode("rings").alias("r")).filter("size(r) > 1")
+    ends = ring.withColumn("i", F.explode(F.expr("sequence(1, size(r) - 1)"))).select("line_id", at(F.col("i") - 1).alias("a"), at(F.col("i")).alias("b"))
+    # both sides of a border run the same way, so their distances are equal
+    e = ends.select("line_id", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().select("line_id", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
+    g = table(spark, sf, "gages").select("STAID", "LNG_GAGE", "LAT_GAGE").distinct()
+    placed = nearby.has_place(F.col("LAT_GAGE"), F.col("LNG_GAGE"))
+    p = g.select(F.col("STAID").alias("point_id"), F.when(placed, F.col("LNG_GAGE")).alias("x"), F.when(placed, F.col("LAT_GAGE")).alias("y"))
+    return geometry.nearest_line_all(p, e, 1.0).select("point_id", "line_id", r("distance", 8).alias("distance"))
+
+
 @query("""
 SELECT a.STAID AS a, b.STAID AS b, round(2 * 6371 * asin(sqrt(least(pow(sin(radians(b.LAT_GAGE - a.LAT_GAGE) / 2), 2) + cos(radians(a.LAT_GAGE)) * cos(radians(b.LAT_GAGE)) * pow(sin(radians(b.LNG_GAGE - a.LNG_GAGE) / 2), 2), 1))), 4) AS km
 FROM (SELECT DISTINCT STAID, LAT_GAGE, LNG_GAGE FROM gages WHERE NOT isnan(LAT_GAGE) AND abs(LAT_GAGE) <= 90 AND abs(LNG_GAGE) <= 180 AND NOT (LAT_GAGE = 0 AND LNG_GAGE = 0)) a

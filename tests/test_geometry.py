@@ -32,6 +32,29 @@ def test_nearest_line(spark):
     assert got == {1: ("a", 1.0), 2: ("c", round(2**0.5, 6))}
 
 
+def test_nearest_line_all(spark):
+    rng = np.random.default_rng(3)
+    pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-3, 3, (30, 2)))] + [(30, 90.0, 90.0), (31, -170.0, 5.0), (32, 90.0, 90.0), (33, None, 1.0), (34, float("nan"), 1.0), (35, 8.0, 8.0), (36, 0.5, -9.0)]
+    segs = [("b", 0.0, 0.0, 1.0, 0.0), ("a", 0.0, 0.0, 1.0, 0.0), ("v", 2.0, -1.0, 2.0, 2.0), ("p", -2.0, -2.0, -2.0, -2.0), ("long", -3.0, 2.5, 3.0, 2.0)]
+    want = {}
+    for i, x, y in pts:
+        best = (None, None)
+        if x is not None and x == x:
+            ds = []
+            for k, x1, y1, x2, y2 in segs:
+                n = (x2 - x1) ** 2 + (y2 - y1) ** 2
+                t = min(max(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / n, 0), 1) if n else 0.0
+                ds.append((round(float(np.hypot(x - x1 - t * (x2 - x1), y - y1 - t * (y2 - y1))), 8), k))
+            best = min(ds)[::-1]
+        want[i] = best
+    p = spark.createDataFrame(pts, "point_id int, x double, y double")
+    s = spark.createDataFrame(segs, "line_id string, x1 double, y1 double, x2 double, y2 double")
+    got = geometry.nearest_line_all(p, s, 0.5).collect()
+    assert len(got) == len(pts) and {r.point_id: (r.line_id, r.distance and round(r.distance, 8)) for r in got} == want
+    none = geometry.nearest_line_all(p, s.limit(0), 0.5).collect()
+    assert len(none) == len(pts) and all(r.line_id is None for r in none)
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (180, 2))] + [(400 + i, 401 + i) for i in range(60)] + [(500, 500 + i) for i in range(1, 90)]
