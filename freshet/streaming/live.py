@@ -51,20 +51,23 @@ def wet_spells(df: DataFrame, gap: str, late: str | None) -> DataFrame:
 
 
 def running_peaks(df: DataFrame, late: str | None) -> DataFrame:
-    """(cell_id, time, peak) whenever a cell's highest usable rate so far rises; the state is one number a cell."""
+    """(cell_id, time, peak) whenever a cell's highest usable rate so far rises; the state is one number a cell.
+
+    Within a micro-batch readings count in order of time, of equal times the highest alone; what comes late in a later batch counts then.
+    """
+
+    def rises(f: pd.DataFrame, peak: float) -> pd.DataFrame:
+        f = f.sort_values(["time", "precip_rate"], ascending=[True, False])
+        before = f["precip_rate"].cummax().shift().fillna(peak).clip(lower=peak)
+        return f[f["precip_rate"] > before]
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         peak = state.get[0] if state.exists else -1.0
-        rows = []
-        for f in frames:
-            f = f.sort_values("time")
-            for t, v in zip(f["time"], f["precip_rate"]):
-                if v > peak:
-                    peak = float(v)
-                    rows.append((key[0], t, peak))
-        state.update((peak,))
-        if rows:
-            yield pd.DataFrame(rows[-1:], columns=["cell_id", "time", "peak"])
+        # a rise of the whole batch is one of its own frame, too
+        found = rises(pd.concat([rises(f, peak) for f in frames]), peak)
+        state.update((float(max(peak, found["precip_rate"].max())) if len(found) else peak,))
+        if len(found):
+            yield pd.DataFrame({"cell_id": key[0], "time": found["time"].to_numpy(), "peak": found["precip_rate"].to_numpy(float)})
 
     d = _waiting(df.filter(usable(F.col("precip_rate"))), late).select("cell_id", "time", "precip_rate")
     return d.groupBy("cell_id").applyInPandasWithState(step, "cell_id bigint, time timestamp, peak double", "peak double", "append", GroupStateTimeout.NoTimeout)

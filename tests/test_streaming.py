@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from freshet.streaming import live
@@ -34,6 +35,18 @@ def test_running_peaks(spark, tmp_path):
     assert max(got) == 5.0 and 2.0 not in got
 
 
+@pytest.mark.parametrize("files", [1, 9])
+def test_running_peaks_gives_every_rise(spark, tmp_path, files):
+    land(spark, tmp_path, [[ROWS[0][1], (9, 7, T + dt.timedelta(minutes=5), 2.0), (8, 7, T + dt.timedelta(minutes=2), 0.5), ROWS[0][0]], *ROWS[1:]])
+    d = spark.readStream.schema(SHAPE).option("maxFilesPerTrigger", files).option("recursiveFileLookup", True).parquet(str(tmp_path / "in")).withColumn("time", F.col("time").cast("timestamp"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        got = run(spark, live.running_peaks(d, "1 hour"), tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.time, r.peak) for r in got) == [(T, 1.0), (T + dt.timedelta(minutes=5), 3.0), (T + dt.timedelta(minutes=20), 5.0)]
+
+
 def test_wet_spells_and_rolling(spark, tmp_path):
     got = run(spark, live.wet_spells(land(spark, tmp_path, ROWS), "30 minutes", "1 hour"), tmp_path)
     assert [(r.n, r.top) for r in got] == [(4, 5.0)]
