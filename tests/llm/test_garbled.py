@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from freshet.llm.garbled import find_garbled, garbled_ids, restore, undo, units
+from freshet.llm.garbled import find_garbled, garbled_ids, restore, units
 
 RIGHT = {
     "fr": "ajoute la clé étrangère dès l’arrivée du fichier à côté du réseau",
@@ -68,9 +70,49 @@ def test_keys_are_per_source(docs):
     assert ("Ã©", "é") in keys and ("Ã¼", "ü") in keys
 
 
-def test_units_and_undo():
-    assert undo("cafÃ©", "cp1252>utf-8") == "café" and undo("café", "cp1252>utf-8") is None
-    assert units("cafÃ©", "cp1252>utf-8") == [("Ã©", "é")]
+def test_units():
+    assert units("cafÃ©", "cp1252>utf-8") == (["c", "a", "f", "Ã©"], ["c", "a", "f", "é"]) and units("café", "cp1252>utf-8") is None
+    assert units("Ñ�Ð°", "cp1252>utf-8") == (["Ñ�", "Ð°"], [None, "а"])
+    assert units("cafÃƒÂ©", "cp1252>utf-8>cp1252>utf-8") == (["c", "a", "f", "ÃƒÂ©"], ["c", "a", "f", "é"])
+    assert units("aÐ°Ð±", "?2:CYRILLIC") == (["a", "Ð°", "Ð±"], ["a", None, None]) and units("é", "?2:LATIN") is None
+
+
+UNLISTED = {
+    "cp1257": "vanduo žemė upė ąžuolas čia šaltinis žiema šalta diena miško takas žvejys plaukė ežeras gražus žalia žolė šiltas vėjas pūtė nuo jūros "
+    "krantų gyveno žmogus kuris mėgo žuvį ir šviesą žvaigždė švietė virš upės vaikai žaidė šalia kelio močiutė kepė šviežią duoną tėvas taisė tinklą",
+    "cp1255": "המים זורמים בנהר אל הים הגדול והרוח נושבת מעל ההרים הגבוהים ילדים משחקים ליד הבית הישן אבא תיקן את הרשת אמא אפתה לחם טרי בבוקר "
+    "הדג שוחה במים הקרים והכוכב האיר את השמים בלילה האיש אהב את האור ואת הדרך הארוכה אל הכפר השקט שליד העמק הירוק",
+    "tis-620": "น้ำไหลลงสู่ทะเลใหญ่ ลมพัดผ่านภูเขาสูง เด็กเล่นอยู่ใกล้บ้านเก่า พ่อซ่อมตาข่าย แม่อบขนมปังสดในตอนเช้า ปลาว่ายในน้ำเย็น ดาวส่องแสงในท้องฟ้ายามค่ำคืน "
+    "ชายคนนั้นรักแสงสว่าง และถนนยาวไปยังหมู่บ้านที่เงียบสงบ ใกล้หุบเขาสีเขียว ฝนตกหนักเมื่อวานนี้ ชาวนาปลูกข้าวในนา",
+}
+
+
+def test_keys_from_nothing(spark):
+    """Pages that are in no list: their languages are known from other sources, their keys are not."""
+    rng, rows, bad, k = random.Random(5), [], set(), 0
+    for n in range(900):
+        for page, text in UNLISTED.items():
+            words = text.split(" ")
+            line = " ".join(rng.choice(words) for _ in range(8))
+            right = n % 6 != 0
+            rows.append((k, f"note\n{line if right else swapped(line, 'cp1252', page)}", f"right{n % 3}" if right else f"old_{page}"))
+            bad |= set() if right else {k}
+            k += 1
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    text = {i: t for i, t, _ in rows}
+    got = {r.doc_id: r.text for r in restore(df).collect()}
+    assert set(got) <= bad
+    by = {p: [i for i in bad if rows[i][2] == f"old_{p}"] for p in UNLISTED}
+    found = {p: sum(i in got for i in ids) / len(ids) for p, ids in by.items()}
+    assert min(found.values()) >= 0.95, found
+    # letters read back, by place; both texts have as many characters
+    for p, ids in by.items():
+        pairs = [(x, y) for i in ids if i in got for x, y in zip(got[i], _unswapped(text[i], p)) if not y.isascii()]
+        assert sum(x == y for x, y in pairs) / len(pairs) >= 0.8, p
+
+
+def _unswapped(text, page):
+    return b"".join(c.encode("cp1252") if c in "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ" else bytes([ord(c)]) for c in text).decode(page)
 
 
 def test_empty(spark):
