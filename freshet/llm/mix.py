@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.encode import encode_corpus
+from freshet.operators.series import running_total
 from freshet.session import cut
 
-#: Most sources a table of targets may list: its rows meet on the driver to derive the rates.
-MAX_SOURCES = 100_000
 SEED = 20_240_613
 
 
@@ -18,29 +17,22 @@ def source_name(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
-def repetition_rates(rows: list[dict], total: float) -> dict[str, float]:
-    """How often each document of a source is used, for a mix of `total` tokens.
+def repetition_rates(sources: DataFrame, total: DataFrame) -> DataFrame:
+    """sources(source, target_share, max_repeats, tokens) with rate: how often each document of a source is used, for a mix of total(total) tokens, one row.
 
-    rows: source, share, cap, tokens. A source gets share * total tokens; where its cap holds it below that,
-    what is missing goes to the others in proportion to their shares, until nothing changes. If all
-    sources are at their caps, the mix is smaller than total.
+    A source gets target_share * total tokens; where its cap holds it below that, what is missing goes to the others in proportion to
+    their shares. So there is one level such that a source gets level * target_share tokens or, if that is less, all that its cap allows.
+    In the order of the level at which sources reach their caps, the first one that doesn't reach its own tells the level; running sums are
+    made in Spark, over any number of sources. If all sources are at their caps, the mix is smaller than total.
     """
-    rate: dict[str, float] = {r["source"]: 0.0 for r in rows}
-    free = [r for r in rows if r["tokens"] > 0 and r["share"] > 0 and r["cap"] > 0]
-    left = total
-    while free:
-        weight = sum(r["share"] for r in free)
-        full = [r for r in free if left * r["share"] / weight >= r["cap"] * r["tokens"]]
-        if not full:
-            for r in free:
-                rate[r["source"]] = left * r["share"] / weight / r["tokens"]
-            break
-        for r in full:
-            rate[r["source"]] = float(r["cap"])
-            left -= r["cap"] * r["tokens"]
-        free = [r for r in free if r not in full]
-        left = max(left, 0.0)
-    return rate
+    most = F.col("max_repeats") * F.col("tokens").cast("double")
+    free = sources.filter("tokens > 0 AND target_share > 0 AND max_repeats > 0").withColumn("_most", most).withColumn("_full", F.col("_most") / F.col("target_share"))
+    run = running_total(free, ["_full", "source"], F.col("_most"), "_held", "_all_most")
+    run = running_total(run, ["_full", "source"], F.col("target_share"), "_before", "_shares")
+    level = F.expr("try_divide(greatest(total - _held, 0D), _shares - _before)")
+    at = run.crossJoin(F.broadcast(total)).withColumn("_level", level).filter("_level < _full").agg(F.min_by("_level", F.struct("_full", "source")).alias("_level"))  # one row
+    rate = F.when((F.col("tokens") > 0) & (F.col("target_share") > 0), F.least(F.col("max_repeats").cast("double"), F.coalesce(F.col("_level") * F.col("target_share") / F.col("tokens"), F.col("max_repeats").cast("double"))))
+    return sources.crossJoin(F.broadcast(at)).withColumn("rate", F.greatest(F.coalesce(rate, F.lit(0.0)), F.lit(0.0))).drop("_level")
 
 
 class Mix:
@@ -73,36 +65,27 @@ def mix_sources(
     source's rate; of a source listed twice the shares add up and the least max_repeats holds; null shares and caps count as 0;
     a listed source without tokens has rate 0; equal rows of docs are used as one row is; an empty table gives no documents.
     """
-    spark = docs.sparkSession
-    t = targets.groupBy(source_name(F.col("source")).alias("source")).agg(
+    t = targets.filter(F.col("source").isNotNull()).groupBy(source_name(F.col("source")).alias("source")).agg(
         F.coalesce(F.sum("target_share"), F.lit(0.0)).cast("double").alias("target_share"), F.coalesce(F.min("max_repeats"), F.lit(0)).cast("int").alias("max_repeats")
     )
-    listed = [r.asDict() for r in t.filter("source IS NOT NULL").limit(MAX_SOURCES + 1).collect()]
-    if len(listed) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    shape = "source string, target_share double, max_repeats int"
-    fixed = spark.createDataFrame([(r["source"], r["target_share"], r["max_repeats"]) for r in listed], shape)
-
     d = docs.select(F.col(key).alias("_id"), source_name(F.col(source)).alias("_source"), F.col(text).alias("_text"))
-    d = d.join(F.broadcast(fixed.select(F.col("source").alias("_source"))), "_source", "left_semi")  # at most MAX_SOURCES rows
+    d = d.join(t.select(F.col("source").alias("_source")), "_source", "left_semi")
     counted = cut(encode_corpus(d, "_id", "_text", count_only=True, keep=("_source",), **tokenizer))  # a few bytes a document; texts are encoded once
 
-    sums = {r["_source"]: (r["n"], r["tokens"]) for r in counted.groupBy("_source").agg(F.count("*").alias("n"), F.sum("n").alias("tokens")).collect()}
-    rows = [{"source": r["source"], "share": r["target_share"], "cap": r["max_repeats"], "tokens": sums.get(r["source"], (0, 0))[1]} for r in listed]
-    rates = repetition_rates(rows, sum(r["tokens"] for r in rows) if total_tokens is None else total_tokens)
+    sums = counted.groupBy(F.col("_source").alias("source")).agg(F.count("*").alias("n_docs"), F.sum("n").alias("tokens"))
+    s = cut(t.join(sums, "source", "left").fillna(0, ["n_docs", "tokens"]))
+    total = s.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("double").alias("total")) if total_tokens is None else docs.sparkSession.range(1).select(F.lit(float(total_tokens)).alias("total"))
+    rated = cut(repetition_rates(s, total))
 
-    rate = spark.createDataFrame([(r["source"], rates[r["source"]]) for r in listed], "_source string, rate double")
     coin = F.pmod(F.xxhash64(F.lit(seed), F.col("_id")), F.lit(1 << 53)).cast("double") / float(1 << 53)
     used = (
-        counted.join(F.broadcast(rate), "_source")  # at most MAX_SOURCES rows
+        counted.join(rated.select(F.col("source").alias("_source"), "rate"), "_source")
         .withColumn("copies", (F.floor("rate") + (coin < F.col("rate") - F.floor("rate")).cast("bigint")).cast("bigint"))
         .filter("copies > 0")
         .select(F.col("_id").alias(key), F.col("_source").alias("source"), F.col("n").alias("n_tokens"), "copies")
     )
-    stats = spark.createDataFrame([(s, int(n), int(k or 0)) for s, (n, k) in sums.items()], "source string, n_docs bigint, tokens bigint")
     done = used.groupBy("source").agg(F.count("*").alias("docs_used"), F.sum(F.col("n_tokens") * F.col("copies")).alias("mixed_tokens"))
-    r = fixed.join(stats, "source", "left").join(rate.withColumnRenamed("_source", "source"), "source", "left").join(done, "source", "left")
-    r = r.fillna(0, ["n_docs", "tokens", "docs_used", "mixed_tokens"]).fillna(0.0, ["rate"])
+    r = rated.join(done, "source", "left").fillna(0, ["docs_used", "mixed_tokens"])
     whole = r.agg(F.sum("mixed_tokens").alias("_all"))
     r = r.crossJoin(F.broadcast(whole)).withColumn("actual_share", F.coalesce(F.expr("try_divide(mixed_tokens, _all)"), F.lit(0.0))).drop("_all")  # one row
     return Mix(used, r)

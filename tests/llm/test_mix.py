@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 
@@ -9,18 +10,40 @@ if not os.path.exists(os.path.join(default_tokenizer_dir(), "byte_bpe_50k.tiktok
     pytest.skip("no vocabulary files", allow_module_level=True)
 
 
-def test_rates_respect_caps_and_refill():
-    rows = [
-        {"source": "a", "share": 0.5, "cap": 1, "tokens": 800},
-        {"source": "b", "share": 0.4, "cap": 9, "tokens": 150},
-        {"source": "c", "share": 0.1, "cap": 1, "tokens": 50},
-        {"source": "d", "share": 0.0, "cap": 1, "tokens": 0},
-    ]
-    r = repetition_rates(rows, 1000)
+SHAPE = "source string, target_share double, max_repeats int, tokens bigint"
+
+
+def rates(spark, rows, total):
+    got = repetition_rates(spark.createDataFrame(rows, SHAPE), spark.createDataFrame([(float(total),)], "total double"))
+    return {r.source: r.rate for r in got.collect()}
+
+
+def test_rates_respect_caps_and_refill(spark):
+    rows = [("a", 0.5, 1, 800), ("b", 0.4, 9, 150), ("c", 0.1, 1, 50), ("d", 0.0, 1, 0)]
+    r = rates(spark, rows, 1000)
     assert r["c"] == 1.0 and r["d"] == 0.0
     assert abs(r["a"] * 800 / (r["b"] * 150) - 0.5 / 0.4) < 1e-9
-    assert abs(sum(r[x["source"]] * x["tokens"] for x in rows) - 1000) < 1e-6
-    assert repetition_rates(rows[2:3], 1e9) == {"c": 1.0}
+    assert abs(sum(r[s] * n for s, _, _, n in rows) - 1000) < 1e-6
+    assert rates(spark, rows[2:3], 1e9) == {"c": 1.0}
+
+
+def test_rates_of_many_sources(spark):
+    """200,000 sources, against the same rule in turns: who is over their cap is held there, until nobody is."""
+    rng = random.Random(3)
+    rows = [(f"s{i}", rng.random() ** 4, rng.randrange(4), rng.randrange(5000)) for i in range(200_000)]
+    got = rates(spark, rows, 2e8)
+    free, left, want = [r for r in rows if r[1] > 0 and r[2] > 0 and r[3] > 0], 2e8, {}
+    while True:
+        weight = sum(r[1] for r in free)
+        full = [r for r in free if left * r[1] / weight >= r[2] * r[3]]
+        if not full:
+            break
+        want |= {s: float(c) for s, _, c, _ in full}
+        left -= sum(c * n for _, _, c, n in full)
+        free = [r for r in free if r[0] not in want]
+    want |= {s: left * w / weight / n for s, w, _, n in free}
+    assert len(got) == len(rows) and len({c for c in want.values()}) > 100
+    assert max(abs(got[s] - want.get(s, 0.0)) for s in got) < 1e-6
 
 
 def test_mix_reaches_shares(spark):
