@@ -28,8 +28,8 @@ def repetition_rates(sources: DataFrame, total: DataFrame) -> DataFrame:
     most = F.col("max_repeats") * F.col("tokens").cast("double")
     free = sources.filter("tokens > 0 AND target_share > 0 AND max_repeats > 0").withColumn("_most", most).withColumn("_full", F.col("_most") / F.col("target_share"))
     run = running_total(free, ["_full", "source"], F.col("_most"), "_held", "_all_most")
-    run = running_total(run, ["_full", "source"], F.col("target_share"), "_before", "_shares")
-    level = F.expr("try_divide(greatest(total - _held, 0D), _shares - _before)")
+    run = running_total(run, ["_full", "source"], F.col("target_share"), "_earlier", "_shares")
+    level = F.expr("try_divide(greatest(total - _held, 0D), _shares - _earlier)")
     at = run.crossJoin(F.broadcast(total)).withColumn("_level", level).filter("_level < _full").agg(F.min_by("_level", F.struct("_full", "source")).alias("_level"))  # one row
     rate = F.when((F.col("tokens") > 0) & (F.col("target_share") > 0), F.least(F.col("max_repeats").cast("double"), F.coalesce(F.col("_level") * F.col("target_share") / F.col("tokens"), F.col("max_repeats").cast("double"))))
     return sources.crossJoin(F.broadcast(at)).withColumn("rate", F.greatest(F.coalesce(rate, F.lit(0.0)), F.lit(0.0))).drop("_level")
