@@ -45,6 +45,8 @@ WRITTEN_IN = "utf-8 cp1252 cp1251 koi8-r cp866 cp1250 iso8859-2 cp1253 cp1254 gb
 AGAINST_UTF8, AGAINST_OTHER = 3.0, 10.0
 #: A key that makes a word this much less likely doesn't read its line, however well it reads the others.
 LEAST_WORD = -8.0
+#: What the first bigrams may be wrong by, in nats a word, when candidates are chosen.
+SLACK = 4.0
 #: The tables have settled when at most this share of the garbled lines changes its key; and rounds that are enough for that.
 SETTLED, ROUNDS = 0.005, 8
 #: So many of a word's own occurrences don't speak for the word as it stands, or rare garbled words would explain themselves.
@@ -54,7 +56,7 @@ PAGE_WEIGHT, PAGE_TRUST = 5.0, 0.98
 #: Blank keys: a line is suspect if the bigrams of each word are this much (nats each) less likely than usual; a key reads well within `WELL` of usual.
 SUSPECT, WELL = 2.5, 1.0
 #: Blank keys have settled when a round gains less than this share of the likelihood; and rounds that are enough for that.
-GAIN, BLANK_ROUNDS = 0.001, 30
+GAIN, BLANK_ROUNDS = 0.002, 30
 #: Stretches of a source that one task of a blank key takes, about.
 TASK_RUNS = 20_000
 NOT_ASCII = r"[^\x00-\x7F]"
@@ -281,28 +283,38 @@ def units(text: str, swap: str) -> tuple[list[str], list[str | None]] | None:
     return us, letters
 
 
-def _readings(word: str) -> list[tuple[str, list[str] | None, list[str | None] | None]]:
-    """(swap, units, letters) of all pairs of pages that could have made this word, without units for those that leave it unchanged."""
+def _readings(word: str) -> list[tuple[str, str | None]]:
+    """(swap, text) of all pairs of pages that could have made this word, without a text for those that leave it unchanged."""
     out, lost = [], LOST in word
     for r in READ_AS:
         data = _to_bytes(word, r)
         if data is None:
             continue
         for t in WRITTEN_IN:
-            if t == r or (not lost and _decoded(bytes(data), t) is None):
+            if t == r:
                 continue
-            for swap in (f"{r}>{t}", *([f"{r}>utf-8>cp1252>utf-8"] if t == "utf-8" and not lost else [])):
-                got = units(word, swap)
-                if got is None or len(got[0]) != len(got[1]):
-                    continue
-                text = "".join(x or LOST for x in got[1])
-                if text == word:
-                    out.append((swap, None, None))
-                elif "\x00" not in text and not any(0x80 <= ord(c) < 0xA0 for c in text):
-                    out.append((swap, *got))
+            if lost:
+                got = _pieces(data, t)
+                text = "".join(x or LOST for _, x in got) if got else None
+            else:
+                text = _decoded(bytes(data), t)
+            if text is None:
+                continue
+            for swap, x in ((f"{r}>{t}", text), *([(f"{r}>utf-8>cp1252>utf-8", _again(text))] if t == "utf-8" and not lost else [])):
+                if x == word:
+                    out.append((swap, None))
+                elif x is not None and "\x00" not in x and not any(0x80 <= ord(c) < 0xA0 for c in x):
+                    out.append((swap, x))
     return out
 
 
+def _again(text: str) -> str | None:
+    """What was read as cp1252 a second time."""
+    data = _to_bytes(text, "cp1252")
+    got = None if data is None or None in data else _decoded(bytes(data), "utf-8")
+    return got if got != text else None
+
+
 def _read(us: list[str], letters: list[str | None], table: dict[str, str]) -> str:
     """Each unit becomes one private symbol, and translate() turns the symbols into letters: those of the table, else of the pages."""
     names: dict[str, str] = {}
@@ -322,24 +334,32 @@ SHAPE = "source string, word string, swap string, units array<string>, letters a
 
 
 def _candidates(model):
-    """mapInArrow function: (word, n) to (word, swap, units, letters), without pairs of pages that make the word far less likely."""
+    """mapInArrow function: (word, n) to (word, swap, gain): how much likelier each pair of pages makes the word, null for those that leave it unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in (b.slice(i, 1000) for i in range(0, b.num_rows, 1000)):
                 word, n = part.column(0).to_pylist(), part.column(1).to_pylist()
                 stands = model.value.score(word, [min(k, OWN) for k in n])
-                rows = [(w, s, *x) for w, s in zip(word, stands) for x in _readings(w)]
-                gain = model.value.score([_read(r[3], r[4], {}) if r[3] else r[0] for r in rows])
-                rows = [r for r, g in zip(rows, gain) if r[3] is None or g - r[1] >= 2 * LEAST_WORD]
-                cols = list(zip(*rows)) if rows else [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[2], pa.string()), *(pa.array(c, pa.list_(pa.string())) for c in cols[3:])], ["word", "swap", "units", "letters"])
+                rows = [(w, swap, s, text) for w, s in zip(word, stands) for swap, text in _readings(w)]
+                gain = model.value.score([r[3] if r[3] is not None else "" for r in rows])
+                rows = [(r[0], r[1], None if r[3] is None else float(g - r[2])) for r, g in zip(rows, gain) if r[3] is None or g - r[2] >= LEAST_WORD - SLACK]
+                cols = list(zip(*rows)) if rows else [()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.float64())], ["word", "swap", "gain"])
 
     return run
 
 
+def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: (source, word, swap) with the word's units and what the pages say of them."""
+    for b in batches:
+        got = [units(w, c) for w, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+        none = pa.nulls(b.num_rows, pa.float64())
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x[0] for x in got], pa.list_(pa.string())), pa.array([x[1] for x in got], pa.list_(pa.string())), none], [*b.schema.names, "units", "letters", "base"])
+
+
 def _score(model):
-    """mapInArrow function: (source, word, swap, units, letters, base, n, said) to (source, word, swap, gain, text)."""
+    """mapInArrow function: (source, word, swap, units, letters, base, n, said) to (source, word, swap, gain)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -351,11 +371,18 @@ def _score(model):
             stands = dict(zip(own, model.value.score(list(own), list(own.values()))))
             gain = model.value.score(text) - np.array([stands[w] if s is None else s for w, s in zip(word, base)])
             keep = pa.array(gain >= LEAST_WORD)
-            yield pa.RecordBatch.from_arrays([x.filter(keep) for x in (b.column(0), b.column(1), b.column(2), pa.array(gain), pa.array(text, pa.string()))], ["source", "word", "swap", "gain", "text"])
+            yield pa.RecordBatch.from_arrays([x.filter(keep) for x in (b.column(0), b.column(1), b.column(2), pa.array(gain))], ["source", "word", "swap", "gain"])
 
     return run
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: (source, swap, n, units, letters, said) to (text, n): words as their keys read them."""
+    for b in batches:
+        text = [_read(u, x, {k: v["letter"] for k, v in _dict(t).items()}) for u, x, t in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)))]
+        yield pa.RecordBatch.from_arrays([pa.array(text, pa.string()), b.column(2)], ["text", "n"])
+
+
 def _letters(model):
     """mapInArrow function: (source, swap, n, units, letters, said) to (source, swap, unit, page, letter, n): the letters that each unit may stand for, given its neighbours."""
 
@@ -443,15 +470,14 @@ class _Fit:
     def start(self) -> None:
         """Candidates from the pages, by bigrams of the words that could not be swapped UTF-8."""
         spread = self.counts.repartition(self.spark.sparkContext.defaultParallelism * 2, "word")
-        self.teach = self.counts.select(F.col("word").alias("text"), "n")
         self.lm = self.model(spread.select("word", "n"), plain=True)
-        maybe = cut(spread.mapInArrow(_candidates(self.lm), SHAPE.replace("source string, ", "")))
-        mine = self.words.select("source", "word").distinct().join(maybe.filter("units IS NOT NULL"), "word")
-        self.cand = cut(mine.select("source", "word", "swap", "units", "letters", F.lit(None).cast("double").alias("base")))
-        # the keys that read all words of a line, some of which they may leave unchanged
-        both = self.words.join(maybe.select("word", "swap", F.col("units").isNotNull().alias("new")), "word")
-        whole = both.groupBy("f1", "f2", "swap", "size").agg(F.count("*").alias("all"), F.count_if("new").alias("k")).filter("all = size AND k > 0")
-        self.terms = cut(both.filter("new").join(whole.select("f1", "f2", "swap", "k"), [*LINE, "swap"]).select("f1", "f2", "source", "n", "word", "swap", "k"))
+        maybe = cut(spread.mapInArrow(_candidates(self.lm), "word string, swap string, gain double"))
+        # the keys that read all words of a line, some of which they may leave unchanged, and don't make it far less likely
+        both = self.words.join(maybe, "word").groupBy("f1", "f2", "source", "n", "size", "swap").agg(F.count("*").alias("all"), F.count("gain").alias("k"), F.sum("gain").alias("gain"))
+        self.whole = cut(both.filter("all = size AND k > 0").filter(F.col("gain") > AGAINST_UTF8 - 2 * SLACK).drop("all", "size"))
+        terms = self.whole.select("f1", "f2", "swap", "k").join(self.words, LINE).join(maybe.filter("gain IS NOT NULL").select("word", "swap"), ["word", "swap"])
+        self.terms = cut(terms.select("f1", "f2", "source", "n", "word", "swap", "k"))
+        self.cand = cut(self.terms.select("source", "word", "swap").distinct().mapInArrow(_spelled, SHAPE + ", base double"))
 
     def _said(self, cand: DataFrame) -> DataFrame:
         """cand with said: what the tables say other than the pages, of the word's own units."""
@@ -463,10 +489,13 @@ class _Fit:
 
     def e_step(self) -> int:
         """Reads all words by the tables and gives each line its likeliest key; returns how many lines changed theirs."""
-        known = self.teach.groupBy(F.col("text").alias("word")).agg(F.least(F.sum("n"), F.lit(OWN)).alias("n"))
-        src = self._said(self.cand).join(known, "word", "left").select("source", "word", "swap", "units", "letters", "base", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), "said")
-        self.gains = cut(src.mapInArrow(_score(self.lm), "source string, word string, swap string, gain double, text string"))
-        per = self.terms.join(self.gains, ["source", "word", "swap"]).groupBy("f1", "f2", "source", "swap", "n", "k").agg(F.sum("gain").alias("gain"), F.count("*").alias("read")).filter("read = k")
+        if self.found is None:
+            per = self.whole
+        else:
+            known = self.teach.groupBy(F.col("text").alias("word")).agg(F.least(F.sum("n"), F.lit(OWN)).alias("n"))
+            src = self._said(self.cand).join(known, "word", "left").select("source", "word", "swap", "units", "letters", "base", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), "said")
+            self.gains = cut(src.mapInArrow(_score(self.lm), "source string, word string, swap string, gain double"))
+            per = self.terms.join(self.gains, ["source", "word", "swap"]).groupBy("f1", "f2", "source", "swap", "n", "k").agg(F.sum("gain").alias("gain"), F.count("*").alias("read")).filter("read = k")
         against = F.when(F.col("swap").contains(">utf-8"), AGAINST_UTF8).otherwise(AGAINST_OTHER)
         per = per.filter(F.col("gain") > AGAINST_UTF8)
         if self.found is not None:
@@ -485,14 +514,16 @@ class _Fit:
 
     def m_step(self) -> None:
         """Tables, and bigrams of all words as they are read now."""
-        held = self.words.join(self.found.select("f1", "f2", "swap"), LINE, "left").groupBy("source", "word", "swap").agg(F.sum("n").alias("n"))
-        held = cut(held.join(self.gains.select("source", "word", "swap", "text"), ["source", "word", "swap"], "left"))
-        self.teach = held.groupBy(F.coalesce("text", "word").alias("text")).agg(F.sum("n").alias("n"))
+        held = cut(self.words.join(self.found.select("f1", "f2", "swap"), LINE, "left").groupBy("source", "word", "swap").agg(F.sum("n").alias("n")))
+        used = self._said(held.filter("swap IS NOT NULL").join(self.cand, ["source", "word", "swap"])).select("source", "swap", "n", "units", "letters", "said", "word")
+        used = cut(used)
+        read = used.select("source", "swap", "n", "units", "letters", "said")
+        # words that a key leaves unchanged have no candidate of their own
+        plain = held.join(used.select("source", "word", "swap"), ["source", "word", "swap"], "left_anti").select(F.col("word").alias("text"), "n")
+        self.teach = cut(plain.unionByName(read.mapInArrow(_texts, "text string, n bigint")).groupBy("text").agg(F.sum("n").alias("n")))
         self.lm.unpersist()
         self.lm = self.model(self.teach)
-        used = self._said(held.filter("swap IS NOT NULL").select("source", "word", "swap", "n").join(self.cand, ["source", "word", "swap"]))
-        used = used.select("source", "swap", "n", "units", "letters", "said")
-        sums = used.mapInArrow(_letters(self.lm), "source string, swap string, unit string, page string, letter string, n double").groupBy("source", "swap", "unit", "page", "letter").agg(F.sum("n").alias("n"))
+        sums = read.mapInArrow(_letters(self.lm), "source string, swap string, unit string, page string, letter string, n double").groupBy("source", "swap", "unit", "page", "letter").agg(F.sum("n").alias("n"))
         self.keys = cut(sums, self.keys)
         weight = F.col("n") + F.when(F.col("letter") == F.col("page"), PAGE_WEIGHT).otherwise(0.0)
         best = self.keys.groupBy("source", "swap", "unit", "page").agg(F.max_by("letter", F.struct(weight, F.col("letter"))).alias("letter"), (F.max(weight) / (F.sum("n") + F.when(F.col("page").isNull(), 0.0).otherwise(PAGE_WEIGHT))).alias("p"))
