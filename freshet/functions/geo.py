@@ -64,3 +64,13 @@ def ring_area(ring: Column) -> Column:
     """Signed area of a closed ring array<struct<x, y>> (counter-clockwise is positive)."""
     pairs = F.transform(F.sequence(F.lit(1), F.size(ring) - 1), lambda i: F.get(ring, i - 1)["x"] * F.get(ring, i)["y"] - F.get(ring, i)["x"] * F.get(ring, i - 1)["y"])
     return F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x) / 2
+
+
+def projected(rings: Column) -> Column:
+    """Rings array<array<struct<x, y>>> of longitudes and latitudes in metres of the equal-area projection, vertex by vertex."""
+
+    def point(p: Column) -> Column:
+        x, y = equal_area_xy(p["y"], p["x"])
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    return F.transform(rings, lambda ring: F.transform(ring, point))

@@ -40,6 +40,63 @@ def class_breaks(df: DataFrame, value: str, shares: tuple[float, ...]) -> DataFr
     return run.withColumn("q", F.explode(F.array(*[F.lit(q) for q in shares]))).filter((k >= F.col("lo")) & (k < F.col("lo") + F.col("n"))).select("q", F.col("v").alias("value"))
 
 
+# Round numbers that class breaks of counts are raised to.
+LADDER = (1, 2, 3, 5, 10, 15, 20, 25, 30, 40, 50, 75, 100, 150, 200, 250, 300, 400, 500, 750, 1000, 1500, 2000, 3000, 5000, 7500, 10000)
+
+
+def round_count(v: Column) -> Column:
+    """The least of LADDER that isn't below v, or v raised to full thousands."""
+    return F.coalesce(F.get(F.filter(F.array(*map(F.lit, LADDER)), lambda x: x >= v), F.lit(0)).cast("double"), (F.ceil(v / 1000) * 1000).cast("double"))
+
+
+def next_count(v: Column) -> Column:
+    """The least of LADDER above v, or v + 1000."""
+    return F.coalesce(F.get(F.filter(F.array(*map(F.lit, LADDER)), lambda x: x > v), F.lit(0)).cast("double"), v + 1000)
+
+
+def round_money(v: Column) -> Column:
+    """v raised to 1, 2.5, 5 or 10 times a power of ten; 0 for what isn't above zero."""
+    k = F.pow(F.lit(10.0), F.floor(F.log10(v)))
+    return F.when(v > 0, F.when(v / k <= 1, 1.0).when(v / k <= 2.5, 2.5).when(v / k <= 5, 5.0).otherwise(10.0) * k).otherwise(0.0)
+
+
+def ladder_breaks(df: DataFrame, value: str, shares: tuple[float, ...], money: bool = False) -> DataFrame:
+    """(i, value): class breaks of the values above zero, raised to round numbers and strictly rising; 1, 2, ... without any such value, then rounded alike."""
+    raw = class_breaks(df.filter(F.col(value) > 0).select(value), value, shares).agg(F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))), lambda x: x["value"].cast("double")).alias("raw"))  # a value for each share
+    raw = raw.select(F.when(F.size("raw") > 0, F.col("raw")).otherwise(F.array(*[F.lit(float(i + 1)) for i in range(len(shares))])).alias("raw"))
+    up, more = (round_money, lambda last: round_money(last * 1.5)) if money else (round_count, next_count)
+    grown = F.aggregate("raw", F.array().cast("array<double>"), lambda acc, v: F.concat(acc, F.array(F.when(up(v) <= F.try_element_at(acc, F.lit(-1)), more(F.try_element_at(acc, F.lit(-1)))).otherwise(up(v)))))
+    return raw.select(F.posexplode(grown).alias("i", "value")).select(F.col("i").cast("bigint").alias("i"), "value")
+
+
+def slider_amount(place: Column, top: Column) -> Column:
+    """The amount at a place (0 to 100) of a slider that is logarithmic from 10,000 to top; 0 asks nothing."""
+    return F.when(place <= 0, F.lit(0.0)).otherwise(F.round(F.pow(F.lit(10.0), 4 + place / 100 * (F.log10(top) - 4))))
+
+
+def open_range(c: Column, low: float, high: float, top: float) -> Column:
+    """low <= c <= high, where high = top means no bound. A range that asks nothing also takes nulls, another one doesn't."""
+    if low <= 0 and high >= top:
+        return F.lit(True)
+    ok = c >= low
+    return F.coalesce(ok & (c <= high) if high < top else ok, F.lit(False))
+
+
+def any_of(c: Column, wanted: list[str]) -> Column:
+    """Whether a comma-separated text holds one of the wanted names; all do if none is wanted."""
+    return F.coalesce(F.arrays_overlap(F.transform(F.split(c, ","), lambda x: F.trim(x)), F.array(*map(F.lit, wanted))), F.lit(False)) if wanted else F.lit(True)
+
+
+def as_ratio(c: Column, scale: Column) -> Column:
+    """Values of records marked 'ratio' as they are; others are percents from before the mark and become ratios."""
+    return F.when(scale.eqNullSafe("ratio"), c).otherwise(c / 100)
+
+
+def permille(c: Column) -> Column:
+    """Thousandths as whole numbers, halves to even; null stays null."""
+    return F.bround(c * 1000).cast("int")
+
+
 def contingency(df: DataFrame, forecast: Column, observed: Column) -> DataFrame:
     """hits, misses, false_alarms, pod, far, csi of two booleans; empty denominators count as 1."""
     d = df.select(F.coalesce(forecast, F.lit(False)).alias("f"), F.coalesce(observed, F.lit(False)).alias("o"))

@@ -125,13 +125,22 @@ def build_hierarchy(links: DataFrame, id: str = "id", parent: str = "toid") -> H
 def _common_ancestors(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs(root, a, b), positions in one tour with a < b where nodes are entered: nid of their lowest common ancestor, a row for each pair.
 
-    It is read off the lowest step between the two. Each pair asks every block of BLOCK_STEPS steps that it spans; the
-    pairs of one value don't overlap, so a value asks each block about once.
+    It is read off the lowest step between the two. A pair asks only the blocks of BLOCK_STEPS steps that its ends are in; the blocks
+    between them are covered by two entries of a table of the lowest steps of 1, 2, 4, ... neighbouring blocks.
     """
     steps = nodes.select("root", F.explode(F.array(F.struct(F.col("enter").alias("pos"), F.col("depth").alias("low"), F.col("nid").alias("top")), F.struct(F.col("leave").alias("pos"), (F.col("depth") - 1).alias("low"), F.coalesce("parent", "nid").alias("top")))).alias("x")).select("root", "x.*")
     steps = steps.withColumn("block", F.expr(f"pos div {BLOCK_STEPS}"))
-    asks = pairs.withColumn("block", F.explode(F.expr(f"sequence(a div {BLOCK_STEPS}, b div {BLOCK_STEPS})")))
-    asks = asks.select(F.col("root").alias("q_root"), F.col("block").alias("q_block"), "a", "b")
+    placed = pairs.withColumn("ba", F.expr(f"a div {BLOCK_STEPS}")).withColumn("bb", F.expr(f"b div {BLOCK_STEPS}"))
+    # an ask is for steps lo .. hi of one block
+    ends = F.expr(f"if(ba = bb, array(struct(ba AS block, a AS lo, b AS hi)), array(struct(ba AS block, a AS lo, (ba + 1) * {BLOCK_STEPS} - 1 AS hi), struct(bb AS block, bb * {BLOCK_STEPS} AS lo, b AS hi)))")
+    asks = placed.select(F.col("root").alias("q_root"), "a", "b", F.explode(ends).alias("q")).select("q_root", F.col("q.block").alias("q_block"), "a", "b", "q.lo", "q.hi")
+    far = placed.filter("bb - ba > 1").withColumn("k", F.floor(F.log2(F.col("bb") - F.col("ba") - 1)).cast("int"))
+    level = cut(steps.groupBy("root", "block").agg(F.min(F.struct("low", "top")).alias("m")))
+    wide, width = level.withColumn("k", F.lit(0)), far.agg(F.max("k")).first()[0]
+    for k in range(width or 0):  # as many levels as the longest pair needs; each has a row for a block at most
+        level = cut(level.join(level.select("root", (F.col("block") - (1 << k)).alias("block"), F.col("m").alias("m2")), ["root", "block"]).select("root", "block", F.least("m", "m2").alias("m")))
+        wide = wide.unionByName(level.withColumn("k", F.lit(k + 1)))
+    between = far.select("root", "a", "b", "k", F.explode(F.expr("array(ba + 1, bb - shiftleft(1L, k))")).alias("block")).join(wide, ["root", "block", "k"]).select("root", "a", "b", "m.low", "m.top")
     shape = "root bigint, a bigint, b bigint, low bigint, top bigint"
 
     def lowest(st, ask):
@@ -142,13 +151,13 @@ def _common_ancestors(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("root", "a", "b", "low", "top")})
         st = st.sort_values("pos")
         pos, low, top = st["pos"].to_numpy(), st["low"].to_numpy(), st["top"].to_numpy()
-        lo, hi = np.searchsorted(pos, ask["a"].to_numpy()), np.searchsorted(pos, ask["b"].to_numpy(), "right")
+        lo, hi = np.searchsorted(pos, ask["lo"].to_numpy()), np.searchsorted(pos, ask["hi"].to_numpy(), "right")
         code = np.append(low * (len(pos) + 1) + np.arange(len(pos)), np.iinfo(np.int64).max)
         cuts = np.column_stack([lo, hi]).ravel()
         got = np.minimum.reduceat(code, cuts)[::2] % (len(pos) + 1)
         return pd.DataFrame({"root": ask["q_root"], "a": ask["a"], "b": ask["b"], "low": low[got], "top": top[got]})
 
-    got = steps.groupBy("root", "block").cogroup(asks.groupBy("q_root", "q_block")).applyInPandas(lowest, shape)
+    got = steps.groupBy("root", "block").cogroup(asks.groupBy("q_root", "q_block")).applyInPandas(lowest, shape).unionByName(between)
     return got.groupBy("root", "a", "b").agg(F.min(F.struct("low", "top")).alias("m")).select("root", "a", "b", F.col("m.top").alias("nid"))
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.times import floor_to, micros
+from freshet.operators.series import fill_forward
 from freshet.session import cut
 
 HOUR = 3600 * 1_000_000
@@ -49,8 +50,8 @@ def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_tim
     """left with the latest value of right (same key) at or before its time: both are merged in order, and the last value is carried on."""
     a = left.select("*", F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
     b = right.select(key, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.col(value).alias("_v"))
-    w = Window.partitionBy(key).orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
-    return a.unionByName(b, allowMissingColumns=True).withColumn(out, F.last("_v", ignorenulls=True).over(w)).filter("_side = 1").select(*left.columns, out)
+    both = a.unionByName(b, allowMissingColumns=True)
+    return fill_forward(both, key, ["_t", "_side", "_v"], "_v", out).filter("_side = 1").select(*left.columns, out)
 
 
 def hours_touched(df: DataFrame, begin: str, end: str, before_h: int, after_h: int, out: str = "hour") -> DataFrame:

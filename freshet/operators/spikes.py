@@ -2,8 +2,10 @@
 
 What is normal comes from quantile sketches (KLL) of each source and part of the day; Spark merges them across partitions, and
 those of a source are merged again to one for the parts of the day with few readings. Quartiles of the sketches give fences. Changes
-and stretches without change need the neighbours in time: sources are cut into blocks of time, and each block also gets the readings
-within `reach` of its ends, so that a source with most of the rows is many tasks and no result depends on where a block ends.
+and stretches without change need so many neighbours in order of time: sources are cut into blocks of time, each of which judges its
+inner readings; those near an end of a block, by number and not by time, are judged once more in a small table of the ends of
+all blocks, where their neighbours stand next to them, however far away. So a source with most of the rows is many tasks, and no result
+depends on where a block ends.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions.times import micros, with_halo
+from freshet.functions.times import micros
 from freshet.session import cut
 
 HOUR = 3600 * 1_000_000
@@ -26,12 +28,12 @@ class Rules:
 
     missing: values that mark "no reading". lowest, highest: physical limits, both allowed.
     In fences, q1 and q3 are the quartiles of the source's positive readings, in logarithms if log_fence.
-    Level readings (log_fence): beyond q1 - w or q3 + w with w = fence * (q3 - q1), but no narrower and no wider than width.
+    Level readings (log_fence): beyond q1 - w or q3 + w with w = fence * (q3 - q1), and at least width.
     Others: above q3 + fence * (q3 - q1) and a sudden change, that is one to three readings at least jump[0] times as high as those
     before and after them plus noise; jump[1] times is enough at `far` times the fence. A sudden drop is the same upside down.
     still: so many consecutive readings that stay within min(still_abs, still_rel * value) are no weather, but zeros are.
     min_bucket: readings that a part of the day needs to be judged by itself; min_source: that a source needs to have fences.
-    block, reach: microseconds.
+    block: microseconds.
     """
 
     missing: tuple[float, ...] = ()
@@ -39,7 +41,7 @@ class Rules:
     highest: float = float("inf")
     log_fence: bool = False
     fence: float = 3.0
-    width: tuple[float, float] = (0.0, float("inf"))
+    width: float = 0.0
     jump: tuple[float, float] = (6.0, 3.0)
     far: float = 5.0
     noise: float = 0.5
@@ -50,14 +52,18 @@ class Rules:
     min_bucket: int = 200
     min_source: int = 8
     sketch_k: int = 400
-    block: int = DAY
-    reach: int = 6 * HOUR
+    block: int = 4 * DAY
+
+    @property
+    def reach(self) -> int:
+        """Readings to each side that the judgement of one depends on."""
+        return (0 if self.log_fence else 6) + 2 * (self.still - 1)
 
 
 #: Rain rates in mm/h, every few seconds to minutes.
 RAIN_RATE = Rules(missing=(-1.0, -3.0), highest=1000.0)
-#: Flood peaks in cubic feet a second, one an event.
-FLOOD_PEAK = Rules(missing=(-999999.0,), highest=9_000_000.0, log_fence=True, fence=6.0, width=(2.5, 3.0), still=4, still_abs=1e-6, still_rel=1e-9, min_bucket=40, block=180 * DAY, reach=60 * DAY)
+#: Flood peaks in cubic feet a second, one an event. A real flood may be several times the usual peak: the width is a factor of 12.
+FLOOD_PEAK = Rules(missing=(-999999.0,), highest=9_000_000.0, log_fence=True, fence=3.0, width=2.5, still=4, still_abs=1e-6, still_rel=1e-9, min_bucket=40, block=20 * 365 * DAY)
 
 
 def fences(readings: DataFrame, rules: Rules) -> DataFrame:
@@ -96,6 +102,21 @@ def _sudden(w, rules: Rules, up: bool) -> Column:
     return F.coalesce(F.greatest(*scores), F.lit(0.0))
 
 
+def _judged(b: DataFrame, w, rules: Rules, possible: Column) -> DataFrame:
+    """b with _up and _down, how sudden the reading's change is, and _stuck, in the order of the window w."""
+    b = b.withColumn("_ok", F.when(possible, F.col("_v")))
+    b = b.withColumn("_up", F.lit(0.0) if rules.log_fence else _sudden(w, rules, True))
+    b = b.withColumn("_ok", F.when(F.col("_up") <= rules.jump[1], F.col("_ok")))  # the next round looks at what is left
+    b = b.withColumn("_down", F.lit(0.0) if rules.log_fence else _sudden(w, rules, False))
+    n = rules.still
+    back = w.rowsBetween(1 - n, 0)
+    spread = F.max("_ok").over(back) - F.min("_ok").over(back)
+    calm = (F.count("_ok").over(back) >= n - (n > 6)) & (F.min("_ok").over(back) > 0)
+    calm &= spread <= F.least(F.lit(rules.still_abs), F.max("_ok").over(back) * rules.still_rel) + 1e-9
+    b = b.withColumn("_calm", calm.cast("int"))
+    return b.withColumn("_stuck", F.col("_ok").isNotNull() & (F.max("_calm").over(w.rowsBetween(0, n - 1)) == 1))
+
+
 def implausible(df: DataFrame, id: str, source: str, time: str, value: str, rules: Rules) -> DataFrame:
     """(row_id, reason) of the implausible rows, each once; reason is 'impossible', 'fence', 'jump' or 'stuck' (the first that holds).
 
@@ -111,23 +132,16 @@ def implausible(df: DataFrame, id: str, source: str, time: str, value: str, rule
     lost = r.filter(~placed & ~possible).select(F.col("_id").alias("row_id"), F.lit("impossible").alias("reason"))
     r = r.filter(placed)
 
-    b = r.withColumn("_block", with_halo(F.col("_t"), rules.block, before=rules.reach, after=rules.reach))
-    # one shuffle by source and block serves the merging of repeats and both rounds of windows
-    b = b.repartition("_s", "_block").groupBy("_s", "_block", "_t", "_v").agg(F.collect_set("_id").alias("_ids"))
-    b = b.withColumn("_ok", F.when(possible, F.col("_v")))
-    w = Window.partitionBy("_s", "_block").orderBy("_t", "_v")
+    # one shuffle by source and block serves the merging of repeats, the windows of blocks, and the table of their ends
+    b = r.withColumn("_block", F.floor(F.col("_t") / F.lit(rules.block))).repartition("_s", "_block")
+    b = b.groupBy("_s", "_block", "_t", "_v").agg(F.min("_id").alias("_id"), F.count("*").alias("_n"))
+    own = Window.partitionBy("_s", "_block").orderBy("_t", "_v")
+    place, many = F.row_number().over(own), F.count("*").over(Window.partitionBy("_s", "_block"))
+    b = b.withColumn("_end", F.least(place - 1, many - place))  # readings between this one and the nearer end
+    inner = _judged(b, own, rules, possible).filter(F.col("_end") >= rules.reach)
+    outer = _judged(b.filter(F.col("_end") < 2 * rules.reach), Window.partitionBy("_s").orderBy("_t", "_v"), rules, possible).filter(F.col("_end") < rules.reach)
+    b = inner.unionByName(outer)
     least = rules.jump[1]
-    b = b.withColumn("_up", F.lit(0.0) if rules.log_fence else _sudden(w, rules, True))
-    b = b.withColumn("_ok", F.when(F.col("_up") <= least, F.col("_ok")))  # the next round looks at what is left
-    b = b.withColumn("_down", F.lit(0.0) if rules.log_fence else _sudden(w, rules, False))
-    n = rules.still
-    back = w.rowsBetween(1 - n, 0)
-    spread = F.max("_ok").over(back) - F.min("_ok").over(back)
-    calm = (F.count("_ok").over(back) >= n - (n > 6)) & (F.min("_ok").over(back) > 0)
-    calm &= spread <= F.least(F.lit(rules.still_abs), F.max("_ok").over(back) * rules.still_rel) + 1e-9
-    b = b.withColumn("_calm", calm.cast("int"))
-    b = b.withColumn("_stuck", F.col("_ok").isNotNull() & (F.max("_calm").over(w.rowsBetween(0, n - 1)) == 1))
-    b = b.filter(F.floor(F.col("_t") / F.lit(rules.block)) == F.col("_block"))
 
     if not rules.log_fence:  # only these rows are held against the fences
         b = b.filter(~possible | F.col("_stuck") | (F.col("_up") > least) | (F.col("_down") > least))
@@ -137,7 +151,7 @@ def implausible(df: DataFrame, id: str, source: str, time: str, value: str, rule
     iqr = F.col("f.q3") - F.col("f.q1")
     if rules.log_fence:
         x = F.log(F.greatest(F.col("_v"), F.lit(1e-12)))
-        wide = F.least(F.greatest(iqr * rules.fence, F.lit(rules.width[0])), F.lit(rules.width[1]))
+        wide = F.greatest(iqr * rules.fence, F.lit(rules.width))
         out, jump = (x > F.col("f.q3") + wide) | (x < F.col("f.q1") - wide), F.lit(False)
     else:
         fence = F.col("f.q3") + rules.fence * iqr
@@ -146,6 +160,9 @@ def implausible(df: DataFrame, id: str, source: str, time: str, value: str, rule
         jump = ((F.col("_up") > hi) & (F.col("_v") > fence)) | ((F.col("_up") > lo) & (F.col("_v") > rules.far * fence))
         jump |= (F.col("_down") > hi) & ((F.col("_v") + rules.noise) * F.col("_down") > fence)
     reason = F.when(~possible, "impossible").when(out, "fence").when(jump, "jump").when(F.col("_stuck"), "stuck")
-    found = b.withColumn("reason", reason).filter("reason IS NOT NULL").select(F.explode("_ids").alias("row_id"), "reason")
+    found = b.withColumn("reason", reason).filter("reason IS NOT NULL").select("_s", "_t", "_v", "_id", "_n", "reason")
+    # what was delivered several times is one reading up to here; its deliveries are looked up by its source, time and value
+    again = r.join(found.filter("_n > 1").select("_s", "_t", "_v", "reason"), ["_s", "_t", "_v"]).select(F.col("_id").alias("row_id"), "reason")
+    found = found.filter("_n = 1").select(F.col("_id").alias("row_id"), "reason").unionByName(again)
     rank = F.min(F.struct(F.array_position(F.array(*map(F.lit, ("impossible", "fence", "jump", "stuck"))), F.col("reason")).alias("k"), "reason")).alias("m")
     return found.unionByName(lost).filter("row_id IS NOT NULL").groupBy("row_id").agg(rank).select("row_id", F.col("m.reason").alias("reason"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from freshet.plans import problems, reference
+from freshet.plans import composites, problems, reference
 
-QUERIES: dict = {**problems.QUERIES, **reference.QUERIES}
-SQL: dict = {**problems.SQL, **reference.SQL}
+QUERIES: dict = {**problems.QUERIES, **reference.QUERIES, **composites.QUERIES}
+SQL: dict = {**problems.SQL, **reference.SQL, **composites.SQL}
 FLAGSHIP = reference.episode_assembly

@@ -158,13 +158,13 @@ def crosstab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN abs(round(c_acctbal))::BIGINT || 'K' WHEN 1 THEN round(abs(c_acctbal), 1) || 'm' WHEN 2 THEN '' WHEN 3 THEN 'bad' WHEN 4 THEN NULL ELSE abs(round(c_acctbal))::BIGINT || ' B' END AS s FROM customer)
-SELECT c_custkey, s, coalesce(n * f, 0) AS amount, n * f AS amount_or_null FROM (SELECT c_custkey, s, try_cast(regexp_extract(trim(s), '^([0-9.]+)\\s*[KMBTkmbt]?$', 1) AS DOUBLE) AS n,
+WITH t AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN abs(round(c_acctbal))::BIGINT || 'K' WHEN 1 THEN round(abs(c_acctbal), 1) || 'm' WHEN 2 THEN '' WHEN 3 THEN CASE WHEN c_custkey % 4 = 1 THEN '2.5T' ELSE 'bad' END WHEN 4 THEN NULL ELSE abs(round(c_acctbal))::BIGINT || ' B' END AS s FROM customer)
+SELECT c_custkey, s, CASE WHEN f < 1e12 THEN coalesce(n * f, 0) ELSE 0 END AS amount, n * f AS amount_or_null FROM (SELECT c_custkey, s, try_cast(regexp_extract(trim(s), '^([0-9.]+)\\s*[KMBTkmbt]?$', 1) AS DOUBLE) AS n,
  CASE upper(right(trim(s), 1)) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 WHEN 'T' THEN 1e12 ELSE 1.0 END::DOUBLE AS f FROM t)""")
 def damage_amounts(spark: SparkSession, sf: str) -> DataFrame:
     k, v = F.col("c_custkey") % 6, F.abs("c_acctbal")
     whole = big(F.abs(F.round("c_acctbal"))).cast("string")
-    s = F.when(k == 0, F.concat(whole, F.lit("K"))).when(k == 1, F.concat(F.round(v, 1).cast("string"), F.lit("m"))).when(k == 2, "").when(k == 3, "bad").when(k == 5, F.concat(whole, F.lit(" B")))
+    s = F.when(k == 0, F.concat(whole, F.lit("K"))).when(k == 1, F.concat(F.round(v, 1).cast("string"), F.lit("m"))).when(k == 2, "").when((k == 3) & (F.col("c_custkey") % 4 == 1), "2.5T").when(k == 3, "bad").when(k == 5, F.concat(whole, F.lit(" B")))
     c = table(spark, sf, "customer").select("c_custkey", s.alias("s"))
     return c.select("c_custkey", "s", text.money(F.col("s")).alias("amount"), text.money(F.col("s"), None).alias("amount_or_null"))
 
@@ -224,14 +224,15 @@ def step_depths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH x AS (SELECT l_orderkey, l_linenumber, l_quantity - 10 AS t, 80 + l_tax * 100 AS p, l_discount / 10 AS q, l_quantity / 10 AS w, (l_orderkey % 9) * 100.0 AS s, 250 + l_quantity AS lw FROM lineitem),
-y AS (SELECT *, CASE WHEN q > 0.02 THEN q / 1000 ELSE q END AS qq, 0.6108 * exp(17.27 * t / (t + 237.3)) AS es FROM x),
-z AS (SELECT *, least(qq * p / (0.622 + 0.378 * qq), es) AS ea, 4098 * es / pow(t + 237.3, 2) AS sl, 0.000665 * p AS g, ((1 - 0.23) * s + 0.98 * lw - 0.98 * 5.670374419e-8 * pow(t + 273.15, 4)) * 0.0036 AS rn FROM y)
-SELECT l_orderkey, l_linenumber::BIGINT AS line, round(greatest((0.408 * sl * (rn - rn * CASE WHEN s > 0 THEN 0.1 ELSE 0.5 END) + g * 37 / (t + 273) * w * (es - ea)) / (sl + g * (1 + CASE WHEN s > 0 THEN 0.24 ELSE 0.96 END * w)), 0), 5)::DOUBLE AS et FROM z""")
+WITH x AS (SELECT l_orderkey, l_linenumber, (l_quantity - 10)::DOUBLE AS temp, ((80 + l_tax * 100) * 1000)::DOUBLE AS pres, (l_discount / 10)::DOUBLE AS q, (l_quantity / 10)::DOUBLE AS u, (l_linenumber - 3)::DOUBLE AS v, ((l_orderkey % 9) * 100)::DOUBLE AS dsw, (250 + l_quantity)::DOUBLE AS dlw FROM lineitem),
+y AS (SELECT *, CASE WHEN q > 0.02 THEN q / 1000.0 ELSE q END AS spfh, pres / 1000.0 AS kpa, sqrt(u ** 2 + v ** 2) * 4.87 / ln(67.8 * 10 - 5.42) AS u2, 0.6108 * exp((17.27 * temp) / (temp + 237.3)) AS es FROM x),
+z AS (SELECT *, 0.000665 * kpa AS gamma, (spfh * kpa) / (0.622 + 0.378 * spfh) AS ea, (4098 * es) / (temp + 237.3) ** 2 AS delta, (1 - 0.23) * (dsw * 0.0036) + (dlw * 0.0036 - 0.98 * (4.903e-9 / 24.0) * (temp + 273.15) ** 4) AS rn FROM y),
+n AS (SELECT *, CASE WHEN rn > 0 THEN 0.1 * rn ELSE 0.5 * rn END AS gr, CASE WHEN rn > 0 THEN 0.24 ELSE 0.96 END AS cd FROM z)
+SELECT l_orderkey, l_linenumber::BIGINT AS line, round(greatest((0.408 * delta * (rn - gr) + gamma * (37.0 / (temp + 273.15)) * u2 * (es - ea)) / (delta + gamma * (1 + cd * u2)), 0.0), 5)::DOUBLE AS et FROM n""")
 def evapotranspiration(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
-    q = F.col("l_quantity")
-    et = physics.hourly_reference_et(q - 10, 80 + F.col("l_tax") * 100, F.col("l_discount") / 10, q / 10, (F.col("l_orderkey") % 9) * 100.0, 250 + q)
+    q, d = F.col("l_quantity").cast("double"), lambda c: c.cast("double")
+    et = physics.hourly_reference_et(q - 10, d((80 + F.col("l_tax") * 100) * 1000), d(F.col("l_discount") / 10), q / 10, d(F.col("l_linenumber") - 3), d((F.col("l_orderkey") % 9) * 100), 250 + q)
     return li.select("l_orderkey", big("l_linenumber").alias("line"), r(et, 5).alias("et"))
 
 
@@ -300,13 +301,13 @@ def rolling_total_covered(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("cell_id", "hour", r("covered").alias("covered"), r("total", 2).alias("total"))
 
 
-@query("""SELECT event_id, user_id, round(100.0 * row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) / (count(*) OVER (PARTITION BY user_id) + 1), 6)::DOUBLE AS exceedance FROM events WHERE value IS NOT NULL""")
+@query("""SELECT event_id, user_id, round(100.0 * row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) / (count(*) OVER (PARTITION BY user_id) + 1), 6)::DOUBLE AS exceedance FROM events WHERE value > 0""")
 def flow_exceedance(spark: SparkSession, sf: str) -> DataFrame:
     return series.exceedance(table(spark, sf, "events"), "user_id", "value", "event_id").select("event_id", "user_id", r("exceedance", 6).alias("exceedance"))
 
 
 @query("""
-WITH e AS (SELECT user_id, value AS v, 100.0 * row_number() OVER w / (count(*) OVER (PARTITION BY user_id) + 1) AS x FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY value DESC, event_id)),
+WITH e AS (SELECT user_id, value AS v, 100.0 * row_number() OVER w / (count(*) OVER (PARTITION BY user_id) + 1) AS x FROM events WHERE value > 0 WINDOW w AS (PARTITION BY user_id ORDER BY value DESC, event_id)),
 n AS (SELECT *, lead(x) OVER w AS x2, lead(v) OVER w AS v2, lag(x) OVER w AS x0 FROM e WINDOW w AS (PARTITION BY user_id ORDER BY x))
 SELECT user_id, round(CASE WHEN x <= 25 AND x2 > 25 THEN v + (v2 - v) * (25 - x) / (x2 - x) ELSE v END, 6)::DOUBLE AS q FROM n WHERE (x <= 25 AND x2 > 25) OR (x0 IS NULL AND x > 25) OR (x2 IS NULL AND x <= 25)""")
 def flow_quantile(spark: SparkSession, sf: str) -> DataFrame:
@@ -489,26 +490,23 @@ def reports_in_units(spark: SparkSession, sf: str) -> DataFrame:
     return d.select(F.col("left_key").alias("lsr_id"), F.col("region").alias("huc8"))
 
 
-@query("""
-WITH e AS (SELECT huc8, r[i].x AS x1, r[i].y AS y1, r[i + 1].x AS x2, r[i + 1].y AS y2 FROM (SELECT huc8, r, unnest(range(1, len(r))) AS i FROM (SELECT huc8, unnest(rings) AS r FROM huc8_units))), s AS (SELECT * FROM e WHERE x1 <> x2),
-g AS (SELECT DISTINCT STAID, LAT_GAGE AS y, LNG_GAGE AS x FROM gages WHERE NOT isnan(LAT_GAGE) AND abs(LAT_GAGE) <= 90), d AS (SELECT STAID, huc8, x, y, x1, y1, x2, y2, least(greatest(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) ** 2 + (y2 - y1) ** 2), 0), 1) AS t
- FROM g JOIN s ON g.x BETWEEN least(x1, x2) - 1 AND greatest(x1, x2) + 1 AND g.y BETWEEN least(y1, y2) - 1 AND greatest(y1, y2) + 1)
-SELECT STAID AS point_id, round(min(sqrt((x - x1 - t * (x2 - x1)) ** 2 + (y - y1 - t * (y2 - y1)) ** 2)), 8) AS distance FROM d GROUP BY 1, x, y HAVING min(sqrt((x - x1 - t * (x2 - x1)) ** 2 + (y - y1 - t * (y2 - y1)) ** 2)) <= 1""")
-def nearest_outline(spark: SparkSession, sf: str) -> DataFrame:
-    """The distance in degrees from each gage to the nearest unit's outline, up to one degree."""
-    e = nearby.outline_edges(table(spark, sf, "huc8_units"), "huc8", "rings").withColumnRenamed("region", "line_id")
-    g = table(spark, sf, "gages").filter("NOT isnan(LAT_GAGE) AND abs(LAT_GAGE) <= 90").select(F.struct("STAID", "LNG_GAGE", "LAT_GAGE").alias("point_id"), F.col("LNG_GAGE").alias("x"), F.col("LAT_GAGE").alias("y")).distinct()
-    return geometry.nearest_line(g, e, 1.0).select(F.col("point_id.STAID").alias("point_id"), r("distance", 8).alias("distance"))
-
-
-@query("""
+_NEAREST = """
 WITH e AS (SELECT huc8, r[i].x AS ax, r[i].y AS ay, r[i + 1].x AS bx, r[i + 1].y AS by_ FROM (SELECT huc8, r, unnest(range(1, len(r))) AS i FROM (SELECT huc8, unnest(rings) AS r FROM huc8_units))),
 o AS (SELECT *, ax < bx OR (ax = bx AND ay <= by_) AS on_ FROM e), s AS (SELECT DISTINCT huc8, CASE WHEN on_ THEN ax ELSE bx END AS x1, CASE WHEN on_ THEN ay ELSE by_ END AS y1, CASE WHEN on_ THEN bx ELSE ax END AS x2, CASE WHEN on_ THEN by_ ELSE ay END AS y2 FROM o),
 g AS (SELECT DISTINCT STAID, LNG_GAGE AS x, LAT_GAGE AS y FROM gages), q AS (SELECT DISTINCT x, y FROM g WHERE NOT isnan(x) AND NOT isnan(y) AND abs(y) <= 90 AND abs(x) <= 180 AND NOT (x = 0 AND y = 0)),
 d AS (SELECT x, y, huc8, x1, y1, x2, y2, least(greatest(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / nullif((x2 - x1) ** 2 + (y2 - y1) ** 2, 0), 0), 1) AS t FROM q, s),
 m AS (SELECT x, y, huc8, min(round(sqrt((x - (x1 + t * (x2 - x1))) ** 2 + (y - (y1 + t * (y2 - y1))) ** 2), 8)) AS distance FROM d GROUP BY 1, 2, 3),
 n AS (SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY distance, huc8) AS k FROM m)
-SELECT g.STAID AS point_id, n.huc8 AS line_id, n.distance FROM g LEFT JOIN n ON n.x = g.x AND n.y = g.y AND n.k = 1""")
+SELECT g.STAID AS point_id, n.huc8 AS line_id, n.distance FROM g LEFT JOIN n ON n.x = g.x AND n.y = g.y AND n.k = 1"""
+
+
+@query(f"SELECT point_id, distance FROM ({_NEAREST}) WHERE distance IS NOT NULL")
+def nearest_outline(spark: SparkSession, sf: str) -> DataFrame:
+    """The distance in degrees from each gage with a place to the nearest unit's outline, however far."""
+    return nearest_outline_all(spark, sf).filter("distance IS NOT NULL").select("point_id", "distance")
+
+
+@query(_NEAREST)
 def nearest_outline_all(spark: SparkSession, sf: str) -> DataFrame:
     """The nearest unit's outline and its distance in degrees for each gage and place, however far; nulls for gages without a place."""
     at = lambda k: F.struct(F.col("r")[k]["x"].alias("x"), F.col("r")[k]["y"].alias("y"))
@@ -546,9 +544,31 @@ def equal_area_positions(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "gages").filter(nearby.has_place(F.col("LAT_GAGE"), F.col("LNG_GAGE"))).select("STAID", r(x, 3).alias("x"), r(y, 3).alias("y")).distinct()
 
 
-@query()
+_ALBERS = """k AS (SELECT 6378137.0::DOUBLE AS a, sqrt(2 / 298.257222101 - pow(1 / 298.257222101, 2))::DOUBLE AS e), s_ AS (SELECT *, sin(radians(29.5)) AS s1, sin(radians(45.5)) AS s2, sin(radians(23)) AS s0 FROM k),
+q_ AS (SELECT a, e, cos(radians(29.5)) / sqrt(1 - pow(e * s1, 2)) AS m1, cos(radians(45.5)) / sqrt(1 - pow(e * s2, 2)) AS m2, (1 - e * e) * (s1 / (1 - pow(e * s1, 2)) - ln((1 - e * s1) / (1 + e * s1)) / (2 * e)) AS q1,
+ (1 - e * e) * (s2 / (1 - pow(e * s2, 2)) - ln((1 - e * s2) / (1 + e * s2)) / (2 * e)) AS q2, (1 - e * e) * (s0 / (1 - pow(e * s0, 2)) - ln((1 - e * s0) / (1 + e * s0)) / (2 * e)) AS q0 FROM s_),
+c_ AS (SELECT a, e, q0, n, m1 * m1 + n * q1 AS c FROM (SELECT *, (m1 * m1 - m2 * m2) / (q2 - q1) AS n FROM q_))"""
+
+
+@query(f"""
+WITH {_ALBERS}, u AS (SELECT DISTINCT huc8, rings FROM huc8_units), r AS (SELECT huc8, k, rings[k] AS r FROM (SELECT huc8, rings, unnest(range(1, len(rings) + 1)) AS k FROM u)),
+v AS (SELECT huc8, k, i, r[i].x AS x, r[i].y AS y FROM (SELECT huc8, k, r, unnest(range(1, len(r) + 1)) AS i FROM r WHERE len(r) > 3)),
+m AS (SELECT huc8, k, i, rho * sin(th) AS px, -rho * cos(th) AS py FROM (SELECT v.*, n * radians(x + 96) AS th, a * sqrt(c - n * (1 - e * e) * (sin(radians(y)) / (1 - pow(e * sin(radians(y)), 2)) - ln((1 - e * sin(radians(y))) / (1 + e * sin(radians(y)))) / (2 * e))) / n AS rho FROM v, c_)),
+t AS (SELECT p.huc8, p.k, abs(sum(p.px * q.py - q.px * p.py)) / 2 AS area FROM m p JOIN m q ON q.huc8 = p.huc8 AND q.k = p.k AND q.i = p.i + 1 GROUP BY 1, 2),
+e1 AS (SELECT p.huc8, p.k, p.x AS x1, p.y AS y1, q.x AS x2, q.y AS y2 FROM v p JOIN v q ON q.huc8 = p.huc8 AND q.k = p.k AND q.i = p.i + 1),
+d AS (SELECT huc8, k, count(*) AS odd FROM (SELECT f.huc8, f.k, e1.k AS o FROM v f JOIN e1 ON e1.huc8 = f.huc8 AND e1.k <> f.k AND f.i = 1 AND (e1.x1 <= f.x) <> (e1.x2 <= f.x) WHERE e1.y1 + (f.x - e1.x1) * (e1.y2 - e1.y1) / (e1.x2 - e1.x1) > f.y GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1) GROUP BY 1, 2)
+SELECT t.huc8 AS region, round(sum(CASE WHEN coalesce(odd, 0) % 2 = 0 THEN area ELSE -area END) / 1e6, 3) AS km2 FROM t LEFT JOIN d ON d.huc8 = t.huc8 AND d.k = t.k GROUP BY 1""")
 def unit_areas(spark: SparkSession, sf: str) -> DataFrame:
-    return geometry.region_area(table(spark, sf, "huc8_units"), "huc8", "rings")
+    """Areas of the units in the equal-area projection, holes taken off."""
+    return _unit_areas(_projected(table(spark, sf, "huc8_units").select("huc8", "rings").dropDuplicates(["huc8"]))).select("region", r("km2", 3).alias("km2"))
+
+
+def _projected(units: DataFrame, key: str = "huc8") -> DataFrame:
+    return units.select(key, geo.projected(F.col("rings")).alias("rings"))
+
+
+def _unit_areas(projected: DataFrame) -> DataFrame:
+    return geometry.region_area(projected, "huc8", "rings").select("region", (F.col("area") / 1e6).alias("km2"))
 
 
 @query()
@@ -649,15 +669,24 @@ def window_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def episode_footprints(spark: SparkSession, sf: str) -> DataFrame:
-    """Units that half a degree around each episode's corner touches: shared area, share of the unit, and whether it is kept (1 percent or more)."""
+    """Units that half a degree around each episode's corner touches: shared km2 and share of the unit in the equal-area projection.
+
+    A unit is kept if 1 percent of it or 10 km2 are touched, or if a report of the episode lies in it.
+    """
     e = table(spark, sf, "episodes").select("episode_id", "min_lat", "min_lon").distinct().filter(nearby.has_place(F.col("min_lat"), F.col("min_lon")))
     at = lambda dx, dy: F.struct((F.col("min_lon") + dx).alias("x"), (F.col("min_lat") + dy).alias("y"))
     e = e.withColumn("rings", F.array(F.array(at(0, 0), at(0.5, 0), at(0.5, 0.5), at(0, 0.5), at(0, 0))))
-    units = table(spark, sf, "huc8_units").select("huc8", "rings").dropDuplicates(["huc8"])
-    o = geometry.overlaps(e, units, ("episode_id", "rings"), ("huc8", "rings"), 1.0)
-    a = geometry.region_area(units, "huc8", "rings").select(F.col("region").alias("right_key"), F.col("area").alias("whole"))
-    d = o.join(a, "right_key").withColumn("share", F.col("area") / F.col("whole"))
-    return d.select(F.col("left_key").alias("episode_id"), F.col("right_key").alias("huc8"), r("area", 8).alias("area"), r("share", 6).alias("share"), (F.col("share") >= 0.01).cast("int").alias("kept"))
+    all_units = table(spark, sf, "huc8_units").select("huc8", "rings").dropDuplicates(["huc8"])
+    units = _projected(all_units)
+    o = geometry.overlaps(_projected(e, "episode_id"), units, ("episode_id", "rings"), ("huc8", "rings"), 100_000.0).withColumn("km2", F.col("area") / 1e6)
+    a = _unit_areas(units).select(F.col("region").alias("right_key"), F.col("km2").alias("whole"))
+    ls = table(spark, sf, "lsrs")
+    reported = nearby.containing(ls, all_units, ("lsr_id", "lat", "lon"), "huc8", "rings").join(ls.select(F.col("lsr_id").alias("left_key"), "episode_id"), "left_key")
+    reported = reported.groupBy("episode_id", F.col("region").alias("huc8")).agg(F.count("*").alias("n_lsr"))
+    d = o.join(a, "right_key").select(F.col("left_key").alias("episode_id"), F.col("right_key").alias("huc8"), "km2", (F.col("km2") / F.col("whole")).alias("share"))
+    d = d.join(reported, ["episode_id", "huc8"], "left").fillna(0, ["n_lsr"])
+    kept = (F.col("share") >= 0.01) | (F.col("km2") >= 10) | (F.col("n_lsr") > 0)
+    return d.select("episode_id", "huc8", r("km2", 1).alias("km2"), r("share", 4).alias("share"), "n_lsr", kept.cast("int").alias("kept"))
 
 
 @query()

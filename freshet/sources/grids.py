@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,13 +39,17 @@ def _png(data: bytes) -> np.ndarray:
         elif f == 1:
             line = np.cumsum(line.reshape(width, step), axis=0).ravel()
         elif f in (3, 4):
-            for i in range(len(line)):
-                a, b, c = (line[i - step], before[i], before[i - step]) if i >= step else (0, before[i], 0)
+            cur, up, was, old = line.tolist(), before.tolist(), [0] * step, [0] * step  # plain numbers: each byte needs the one before it
+            for i, (x, b) in enumerate(zip(cur, up)):
+                a, c, k = was[i % step], old[i % step], i % step
                 if f == 3:
-                    line[i] = (line[i] + (a + b) // 2) & 255
+                    x = (x + (a + b) // 2) & 255
                 else:
-                    p = a + b - c
-                    line[i] = (line[i] + (a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - c) else b if abs(p - b) <= abs(p - c) else c)) & 255
+                    pa_, pb, pc = abs(b - c), abs(a - c), abs(a + b - 2 * c)
+                    x = (x + (a if pa_ <= pb and pa_ <= pc else b if pb <= pc else c)) & 255
+                cur[i] = was[k] = x
+                old[k] = b
+            line = np.array(cur, np.int64)
         before = line & 255
         out[y] = before
     v = out.reshape(height, width, step).astype(np.int64)
@@ -55,7 +60,11 @@ def _png(data: bytes) -> np.ndarray:
 
 
 def messages(data: bytes) -> Iterator[np.ndarray]:
-    """The grids of a file's messages, in order: (reference + raw * 2^E) / 10^D, for PNG-packed ones."""
+    """The grids of a file's messages, in order: (reference + raw * 2^E) / 10^D, for PNG-packed ones. The file may be packed by gzip; one without a message is an error."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
+    if b"GRIB" not in data:
+        raise ValueError("no grid message in the file")
     at = 0
     while (at := data.find(b"GRIB", at)) >= 0:
         (size,) = struct.unpack_from(">Q", data, at + 8)

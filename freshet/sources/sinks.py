@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from freshet.session import cut
 
+#: Files at most that a folder of one value or day gets from a write, so that a large one is no single task.
+SPLITS = 8
+
 
 def write_table(df: DataFrame, path: str, csv: bool = False, compression: str = "zstd") -> None:
     """Parquet at path/parquet and, if asked for, CSV with a header and doubled quotes at path/csv, both in parallel parts."""
@@ -16,8 +19,8 @@ def write_table(df: DataFrame, path: str, csv: bool = False, compression: str =
 
 
 def write_documents(df: DataFrame, path: str, by: str) -> None:
-    """One folder of JSON lines for each value of `by`; rows of a value are brought together first, so that a folder has few files."""
-    df.repartition(by).write.mode("overwrite").partitionBy(by).json(path)
+    """One folder of JSON lines for each value of `by`; rows of a value are brought together first, so that a folder has few files (at most SPLITS)."""
+    df.repartition(F.col(by), F.pmod(F.xxhash64(*df.columns), F.lit(SPLITS))).write.mode("overwrite").partitionBy(by).json(path)
 
 
 def write_script(df: DataFrame, path: str, name: str) -> None:
@@ -50,13 +53,32 @@ def upsert_days(new: DataFrame, path: str, time: str, keys: list[str]) -> None:
         n = n.unionByName(old, allowMissingColumns=True)
     w = Window.partitionBy("day", *keys).orderBy(F.col("_new").desc())
     best = cut(n.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "_new"))  # read before it is overwritten
-    best.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    best.repartition(F.col("day"), F.pmod(F.xxhash64(*keys), F.lit(SPLITS))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+def _holds(outer: Column, inner: Column) -> Column:
+    """Whether the first point of a ring lies within another ring (an odd number of whose edges is above it)."""
+    p = inner[0]
+
+    def above(i: Column) -> Column:
+        a, b = F.get(outer, i - 1), F.get(outer, i)
+        return ((a["x"] <= p["x"]) != (b["x"] <= p["x"])) & (a["y"] + (p["x"] - a["x"]) * F.try_divide(b["y"] - a["y"], b["x"] - a["x"]) > p["y"])
+
+    return (outer != inner) & (F.size(F.filter(F.sequence(F.lit(1), F.size(outer) - 1), above)) % 2 == 1)
 
 
 def feature(rings: Column, properties: list[str], digits: int = 5) -> Column:
-    """A GeoJSON feature as text: coordinates rounded, properties as they are, nulls kept."""
-    coords = F.transform(rings, lambda r: F.transform(r, lambda p: F.array(F.round(p["x"], digits), F.round(p["y"], digits))))
-    geometry = F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates"))
+    """A GeoJSON feature as text: coordinates rounded, properties as they are, nulls kept.
+
+    Rings are told apart by nesting: one within an odd number of others is a hole of the ring around it that lies deepest, the others
+    are pieces of their own, so that a MultiPolygon has as many polygons as pieces.
+    """
+    point = lambda r: F.transform(r, lambda p: F.array(F.round(p["x"], digits), F.round(p["y"], digits)))
+    nested = F.transform(rings, lambda r: F.struct(r.alias("r"), F.size(F.filter(rings, lambda o: _holds(o, r))).alias("depth")))
+    outer = F.filter(nested, lambda o: o["depth"] % 2 == 0)
+    holes = lambda o: F.filter(nested, lambda h: (h["depth"] == o["depth"] + 1) & _holds(o["r"], h["r"]))
+    coords = F.transform(outer, lambda o: F.concat(F.array(point(o["r"])), F.transform(holes(o), lambda h: point(h["r"]))))
+    geometry = F.struct(F.lit("MultiPolygon").alias("type"), coords.alias("coordinates"))
     return F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"), geometry.alias("geometry")), {"ignoreNullFields": "false"})
 
 

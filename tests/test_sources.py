@@ -122,7 +122,11 @@ def test_sinks(spark, tmp_path):
     sinks.write_documents(df, str(tmp_path / "docs"), "id")
     assert spark.read.json(str(tmp_path / "docs")).count() == 3
     unit = spark.createDataFrame([("a", [[(0.123456789, 1.0), (2.0, 3.0)]])], f"name string, rings {geofeatures.RINGS.replace(': ', ' ')}")
-    assert json.loads(unit.select(sinks.feature(unit.rings, ["name"])).first()[0]) == {"type": "Feature", "properties": {"name": "a"}, "geometry": {"type": "Polygon", "coordinates": [[[0.12346, 1.0], [2.0, 3.0]]]}}
+    assert json.loads(unit.select(sinks.feature(unit.rings, ["name"])).first()[0]) == {"type": "Feature", "properties": {"name": "a"}, "geometry": {"type": "MultiPolygon", "coordinates": [[[[0.12346, 1.0], [2.0, 3.0]]]]}}
+    box = lambda a, b: [(a, a), (b, a), (b, b), (a, b), (a, a)]
+    unit = spark.createDataFrame([("b", [box(0.0, 9.0), box(1.0, 8.0), box(20.0, 21.0), box(2.0, 3.0)])], unit.schema)
+    got = json.loads(unit.select(sinks.feature(unit.rings, ["name"])).first()[0])["geometry"]["coordinates"]
+    assert [[r[0] for r in p] for p in got] == [[[0.0, 0.0], [1.0, 1.0]], [[20.0, 20.0]], [[2.0, 2.0]]]
     d = sinks.data_dictionary({"t": df}, {"id": "key"}).collect()
     assert [(r.column, r.type, r.comment) for r in d] == [("id", "int", "key"), ("s", "string", ""), ("v", "double", "")]
 

@@ -44,7 +44,8 @@ def test_rain(spark):
     want |= {50_000: (0, "jump"), 50_001: (0, "impossible"), 50_002: (0, "impossible")}
     expect = {k: r for k, (_, r) in want.items()}
     assert run(spark, rows, RAIN_RATE) == expect
-    assert run(spark, rows, replace(RAIN_RATE, block=2 * 3600 * 1_000_000)) == expect  # blocks don't matter
+    for hours in (2, 7, 24 * 365):  # blocks don't matter
+        assert run(spark, rows, replace(RAIN_RATE, block=hours * 3600 * 1_000_000)) == expect
 
 
 def test_peaks(spark):
@@ -56,5 +57,24 @@ def test_peaks(spark):
     assert run(spark, rows, FLOOD_PEAK) == {7: "fence", 9: "fence", 13: "impossible", **{k: "stuck" for k in range(20, 25)}}
 
 
+def test_ends_of_blocks(spark):
+    """Neighbours are counted in readings, however far apart: four equal peaks around the end of a block are stuck as inside of one."""
+    rows = [(k, "g", T + dt.timedelta(days=50 * k), 100.0 + 37 * (k * k % 11)) for k in range(40)]
+    for k in (18, 19, 20, 21):
+        rows[k] = (k, "g", rows[k][2], 250.0)
+    rows += [(100 + k, "g", rows[k][2], rows[k][3]) for k in (3, 19)]  # delivered twice
+    want = {k: "stuck" for k in (18, 19, 20, 21, 119)}
+    for days in (10, 50, 75, 333, 1000, 100_000):
+        assert run(spark, rows, replace(FLOOD_PEAK, block=days * 86_400 * 1_000_000)) == want, days
+
+
+def test_fences_follow_the_source(spark):
+    """A gage that varies much has a wide fence, and none has one below a factor of 12."""
+    wild = [(k, "w", T + dt.timedelta(days=k), math.exp(8 * math.sin(k * 1.7))) for k in range(60)]
+    calm = [(200 + k, "c", T + dt.timedelta(days=k), 100.0 + k % 7) for k in range(60)]
+    calm[30], calm[40] = (230, "c", calm[30][2], 1100.0), (240, "c", calm[40][2], 1500.0)
+    assert run(spark, wild + calm, FLOOD_PEAK) == {240: "fence"}
+
+
 def test_empty(spark):
     assert run(spark, [], RAIN_RATE) == {} and run(spark, [], FLOOD_PEAK) == {}
