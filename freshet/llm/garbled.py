@@ -46,7 +46,7 @@ AGAINST_UTF8, AGAINST_OTHER = 3.0, 10.0
 #: A key that makes a word this much less likely doesn't read its line, however well it reads the others.
 LEAST_WORD = -8.0
 #: What the first bigrams may be wrong by, in nats a word, when candidates are chosen.
-SLACK = 4.0
+SLACK = 3.0
 #: The tables have settled when at most this share of the garbled lines changes its key; and rounds that are enough for that.
 SETTLED, ROUNDS = 0.005, 8
 #: So many of a word's own occurrences don't speak for the word as it stands, or rare garbled words would explain themselves.
@@ -59,9 +59,8 @@ SUSPECT, WELL = 2.5, 1.0
 GAIN, BLANK_ROUNDS = 0.002, 30
 #: Stretches of a source that one task of a blank key takes, about.
 TASK_RUNS = 20_000
-NOT_ASCII = r"[^\x00-\x7F]"
 LOST = "�"
-_NOT_ASCII = re.compile(NOT_ASCII)
+_NOT_ASCII = re.compile(r"[^\x00-\x7F]")
 
 
 def _symbols() -> tuple[np.ndarray, int]:
@@ -85,8 +84,8 @@ SYMBOL, N_SYMBOLS = _symbols()
 LETTER = np.zeros(N_SYMBOLS, np.int32)
 LETTER[SYMBOL[0x80:0x2600]] = np.arange(0x80, 0x2600)
 LETTER[N_SYMBOLS - 1] = 0
-#: Nats that a blank key pays for each unit: which of all symbols it stands for.
-UNIT_COST = float(np.log(N_SYMBOLS))
+#: Nats that a blank key pays for each unit, which of all symbols it stands for, and for being there at all.
+UNIT_COST, KEY_COST = float(np.log(N_SYMBOLS)), 100.0
 #: Characters from here on are also counted one by one, given their kind.
 IDEOGRAPHS = 0x2E80
 
@@ -422,13 +421,18 @@ def _letters(model):
 def _lines(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """(doc, source, words, f1, f2): the words outside of ASCII of each line that has some, and the hashes that the line goes by."""
     d = docs.select(F.col(key).alias("doc"), F.coalesce(F.lower(F.trim(F.col(source))), F.lit("")).alias("source"), F.col(text).alias("_t"))
-    lines = d.filter(F.col("_t").rlike(NOT_ASCII)).select("doc", "source", F.explode(F.split("_t", r"[\r\n]+")).alias("line")).filter(F.col("line").rlike(NOT_ASCII))
+    lines = d.filter(_foreign(F.col("_t"))).select("doc", "source", F.explode(F.split("_t", r"[\r\n]+")).alias("line")).filter(_foreign(F.col("line")))
     lines = lines.select("doc", "source", _words(F.col("line")).alias("words"))
     return lines.select("*", *_names(F.col("source"), F.col("words")))
 
 
+def _foreign(c: Column) -> Column:
+    """Whether a text has characters outside of ASCII: it has more bytes than characters."""
+    return F.octet_length(c) > F.char_length(c)
+
+
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, r"[ \t]+"), lambda w: w.rlike(NOT_ASCII))
+    return F.filter(F.split(line, r"[ \t]+"), _foreign)
 
 
 def _names(source: Column, words: Column) -> list[Column]:
@@ -473,9 +477,13 @@ class _Fit:
         self.lm = self.model(spread.select("word", "n"), plain=True)
         maybe = cut(spread.mapInArrow(_candidates(self.lm), "word string, swap string, gain double"))
         # the keys that read all words of a line, some of which they may leave unchanged, and don't make it far less likely
-        both = self.words.join(maybe, "word").groupBy("f1", "f2", "source", "n", "size", "swap").agg(F.count("*").alias("all"), F.count("gain").alias("k"), F.sum("gain").alias("gain"))
-        self.whole = cut(both.filter("all = size AND k > 0").filter(F.col("gain") > AGAINST_UTF8 - 2 * SLACK).drop("all", "size"))
-        terms = self.whole.select("f1", "f2", "swap", "k").join(self.words, LINE).join(maybe.filter("gain IS NOT NULL").select("word", "swap"), ["word", "swap"])
+        new, same = maybe.filter("gain IS NOT NULL"), maybe.filter("gain IS NULL").select("word", "swap")
+        part = self.words.select("f1", "f2", "size", "word").join(new, "word").groupBy("f1", "f2", "swap").agg(F.max("size").alias("size"), F.count("*").alias("k"), F.sum("gain").alias("gain"))
+        part = cut(part.filter(F.col("gain") > AGAINST_UTF8 - 2 * SLACK))
+        rest = part.filter("k < size").select("f1", "f2", "swap").join(self.words.select("f1", "f2", "word"), LINE).join(same, ["word", "swap"]).groupBy("f1", "f2", "swap").agg(F.count("*").alias("rest"))
+        whole = part.join(rest, ["f1", "f2", "swap"], "left").filter("k + coalesce(rest, 0) = size").select("f1", "f2", "swap", "k", "gain")
+        self.whole = cut(whole.join(self.words.select("f1", "f2", "source", "n").distinct(), LINE))
+        terms = self.whole.select("f1", "f2", "swap", "k").join(self.words, LINE).join(new.select("word", "swap"), ["word", "swap"])
         self.terms = cut(terms.select("f1", "f2", "source", "n", "word", "swap", "k"))
         self.cand = cut(self.terms.select("source", "word", "swap").distinct().mapInArrow(_spelled, SHAPE + ", base double"))
 
@@ -484,7 +492,7 @@ class _Fit:
         if self.open is None or self.open.isEmpty():
             return cand.withColumn("said", F.lit(None).cast("array<struct<unit: string, letter: string, p: double>>"))
         at = ["source", "swap", "word"]
-        need = cand.select(*at, F.explode(F.array_distinct("units")).alias("unit")).filter(F.col("unit").rlike(NOT_ASCII)).join(self.open, ["source", "swap", "unit"])
+        need = cand.select(*at, F.explode(F.array_distinct("units")).alias("unit")).filter(_foreign(F.col("unit"))).join(self.open, ["source", "swap", "unit"])
         return cand.join(need.groupBy(*at).agg(F.collect_list(F.struct("unit", "letter", "p")).alias("said")), at, "left")
 
     def e_step(self) -> int:
@@ -557,7 +565,7 @@ class _Fit:
         bad = per.groupBy(*LINE).agg(F.sum("bad").alias("b"), F.min(F.col("bad") / F.col("k")).alias("each")).filter((F.col("each") > SUSPECT) & (F.col("b") > AGAINST_OTHER))
         some = cut(per.join(bad.select(*LINE), LINE, "left_semi").select("f1", "f2", "source", "word", "n", "size", "base", "bad"))
         # only sources whose lines could pay for a key at all
-        cost = some.select("source", F.explode(F.array_distinct(F.split("word", ""))).alias("c")).filter(F.col("c").rlike(NOT_ASCII)).groupBy("source").agg((F.count_distinct("c") * UNIT_COST).alias("cost"))
+        cost = some.select("source", F.explode(F.array_distinct(F.split("word", ""))).alias("c")).filter(_foreign(F.col("c"))).groupBy("source").agg((F.count_distinct("c") * UNIT_COST + KEY_COST).alias("cost"))
         pays = some.select("source", "word", "bad").distinct().groupBy("source").agg(F.sum("bad").alias("bad")).join(cost, "source").filter("bad > cost")
         return some.join(pays.select("source"), "source", "left_semi")
 
@@ -592,7 +600,7 @@ class _Fit:
         stands = widths.groupBy("source", "w").agg(F.sum(F.col("base") * F.col("n")).alias("stands"))
         inner = runs.groupBy("source", "w").agg(F.sum(F.col("n") * (F.size("run") + 1)).alias("steps"))
         plain = widths.mapInArrow(_plain_part(lm), "source string, w int, ll double").groupBy("source", "w").agg(F.sum("ll").alias("plain"))
-        score = table.groupBy("source", "w", "script").agg(F.first("ll").alias("ll"), (F.count("*") * UNIT_COST).alias("cost")).join(inner, ["source", "w"]).join(plain, ["source", "w"]).join(stands, ["source", "w"])
+        score = table.groupBy("source", "w", "script").agg(F.first("ll").alias("ll"), (F.count("*") * UNIT_COST + KEY_COST).alias("cost")).join(inner, ["source", "w"]).join(plain, ["source", "w"]).join(stands, ["source", "w"])
         good = (F.col("ll") + F.col("plain") - F.col("cost") > F.col("stands")) & (F.col("ll") > F.col("steps") * (lm.value.usual - WELL))
         score = score.filter(good).withColumn("swap", F.concat(F.lit("?"), F.col("w").cast("string"), F.lit(":"), F.col("script")))
         score = score.join(self.cand.select("source", "swap").distinct().unionByName(self.refused), ["source", "swap"], "left_anti")
@@ -603,7 +611,7 @@ class _Fit:
         new = cut(new)
         more = cut(words.join(pick.select("source", "swap"), "source").select("source", "word", "n", "base", "swap").mapInArrow(_blank_candidates, SHAPE + ", base double"))
         # the source's own bigrams vouch for what it reads as little as for what stands there
-        letter = F.when(F.col("unit").rlike(NOT_ASCII), F.col("letter")).otherwise(F.col("unit"))
+        letter = F.when(_foreign(F.col("unit")), F.col("letter")).otherwise(F.col("unit"))
         read = more.select("source", "swap", "word", F.posexplode("units").alias("i", "unit")).join(new, ["source", "swap", "unit"], "left").groupBy("source", "word").agg(F.array_sort(F.collect_list(F.struct("i", letter.alias("x")))).alias("t"))
         read = cut(read.select("source", "word", F.array_join(F.transform("t", lambda x: x["x"]), "").alias("text")))
         with_own = read.select("source", "text").distinct().mapInArrow(_scored(lm), "source string, text string, aided double")
@@ -620,8 +628,8 @@ class _Fit:
         """(source, swap): blank keys that gain less with the words of the lines they were given than they cost to describe."""
         used = self.terms.filter(F.col("swap").startswith("?")).join(self.found.select("f1", "f2", "swap"), [*LINE, "swap"]).select("source", "swap", "word").distinct()
         gain = used.join(self.gains, ["source", "word", "swap"]).groupBy("source", "swap").agg(F.sum("gain").alias("gain"))
-        many = used.join(self.cand, ["source", "word", "swap"]).select("source", "swap", F.explode("units").alias("u")).filter(F.col("u").rlike(NOT_ASCII)).groupBy("source", "swap").agg(F.count_distinct("u").alias("u"))
-        return gain.join(many, ["source", "swap"]).filter(F.col("gain") < F.col("u") * UNIT_COST).select("source", "swap")
+        many = used.join(self.cand, ["source", "word", "swap"]).select("source", "swap", F.explode("units").alias("u")).filter(_foreign(F.col("u"))).groupBy("source", "swap").agg(F.count_distinct("u").alias("u"))
+        return gain.join(many, ["source", "swap"]).filter(F.col("gain") < F.col("u") * UNIT_COST + KEY_COST).select("source", "swap")
 
     def drop_unpaid(self) -> None:
         """Takes back what unpaid keys have read, and the keys."""
@@ -635,7 +643,7 @@ class _Fit:
 
 def _lost_only(word: Column) -> Column:
     """Whether the only characters outside of ASCII are lost ones."""
-    return ~F.translate(word, LOST, "").rlike(NOT_ASCII)
+    return ~_foreign(F.translate(word, LOST, ""))
 
 
 def _own_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -865,7 +873,7 @@ def restore(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     split = todo.mapInArrow(_line_units, "f1 bigint, f2 bigint, source string, swap string, line string, units array<string>, letters array<string>")
     split = cut(split.withColumn("id", F.xxhash64("line")))
     best = g.keys.filter("best").select("source", "swap", "unit", "letter")
-    said = split.select("f1", "f2", "id", "source", "swap", F.explode(F.array_distinct("units")).alias("unit")).filter(F.col("unit").rlike(NOT_ASCII)).join(best, ["source", "swap", "unit"])
+    said = split.select("f1", "f2", "id", "source", "swap", F.explode(F.array_distinct("units")).alias("unit")).filter(_foreign(F.col("unit"))).join(best, ["source", "swap", "unit"])
     said = said.groupBy("f1", "f2", "id").agg(F.collect_list(F.struct("unit", "letter")).alias("said"))
     read = split.join(said, ["f1", "f2", "id"], "left").mapInArrow(_restored, "f1 bigint, f2 bigint, line string, new string, ok boolean")
     out = marked.join(read, [*LINE, "line"], "left").select("doc", "row", "i", F.coalesce("new", "line").alias("line"), F.when(F.col("hit").isNull(), True).otherwise(F.coalesce("ok", F.lit(False))).alias("ok"))
