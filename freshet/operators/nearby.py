@@ -20,11 +20,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshet.session import cut
+
 EARTH_KM = 6371.0
-#: Points that decide on the cuts, and that a part should hold.
-SAMPLE_POINTS = 50_000
+#: Points that a part should hold, and that decide on the cuts: at least so many, and some for each part.
 PART_POINTS = 20_000
-MAX_PARTS = 1 << 14
+SAMPLE_POINTS, SAMPLE_EACH = 50_000, 8
+#: Most parts that the driver cuts: enough for 5e9 places, with a sample of 2e6.
+MAX_PARTS = 1 << 18
 
 
 def has_place(lat: Column, lon: Column) -> Column:
@@ -49,9 +52,9 @@ def _unit(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
 
 
 def _sample(places: DataFrame) -> tuple[pd.DataFrame, int]:
-    """At most SAMPLE_POINTS places, those of the least hashes, and the number of all."""
-    n = places.count()
-    return places.orderBy(F.xxhash64("lat", "lon")).limit(SAMPLE_POINTS).toPandas(), n
+    """A sample of the places, those of the least hashes, and the number of parts to cut."""
+    parts = min(MAX_PARTS, max(1, -(-places.count() // PART_POINTS)))
+    return places.orderBy(F.xxhash64("lat", "lon")).limit(max(SAMPLE_POINTS, SAMPLE_EACH * parts)).toPandas(), parts
 
 
 def _kd_cuts(xyz: np.ndarray, depth: int) -> list[tuple[int, float]]:
@@ -133,8 +136,8 @@ class _Tree:
 
 def near_places(left: DataFrame, right: DataFrame, km: float) -> DataFrame:
     """(lat, lon, near_lat, near_lon, km) of all places of left and right, each (lat, lon), at most km apart on the great circle."""
-    sample, n = _sample(left.unionByName(right))
-    parts = min(MAX_PARTS, max(1, -(-n // PART_POINTS)))
+    left, right = cut(left), cut(right)  # read for the cuts and for the search
+    sample, parts = _sample(left.unionByName(right))
     cuts = _kd_cuts(_unit(sample["lat"].to_numpy(float), sample["lon"].to_numpy(float)), (parts - 1).bit_length())
     chord = 2 * np.sin(min(km / (2 * EARTH_KM), np.pi / 2)) * (1 + 1e-9) + 1e-12  # the exact test follows
     q = left.mapInPandas(_assign(cuts, 0.0), "lat double, lon double, part bigint")
@@ -208,8 +211,8 @@ def _sweep(points: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
 
 def containing_places(places: DataFrame, edges: DataFrame) -> DataFrame:
     """(lat, lon, region) for places (lat, lon) and edges as of outline_edges, by the even-odd rule over all edges of a region."""
-    sample, n = _sample(places)
-    slabs = min(MAX_PARTS, max(1, -(-n // PART_POINTS)))
+    places = cut(places)
+    sample, slabs = _sample(places)
     bounds = np.unique(np.quantile(sample["lon"].to_numpy(float), np.linspace(0, 1, slabs + 1)[1:-1])) if len(sample) and slabs > 1 else np.empty(0)
 
     def of_points(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
