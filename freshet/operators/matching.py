@@ -31,18 +31,20 @@ def interval_set_match(reports: DataFrame, episodes: DataFrame, before_h: int =
     return by_county.select("report_id", "episode_id").unionByName(by_box.select("report_id", "episode_id")).distinct()
 
 
-def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, tolerance_s: int, right_cols: list[str]) -> DataFrame:
+def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, tolerance_s: int, right_cols: list[str], prefer: str | None = None) -> DataFrame:
     """left with the columns of the row of right (same key) nearest in time within the tolerance; the earlier one of ties. Else nulls.
 
+    prefer: a number in right; rows with the least one come first, however near the others are.
+
     Buckets as wide as the tolerance make it an equality join on key and bucket.
     """
     tol = tolerance_s * 1_000_000
     le = cut(left.withColumn("_t", micros(F.col(left_time))).withColumn("_row", F.monotonically_increasing_id()))  # the numbers stay as written
-    ri = right.select(F.col(key).alias("_key"), micros(F.col(right_time)).alias("_u"), F.struct(*right_cols).alias("_r"))
+    ri = right.select(F.col(key).alias("_key"), micros(F.col(right_time)).alias("_u"), F.struct(*right_cols).alias("_r"), (F.col(prefer) if prefer else F.lit(0)).alias("_p"))
     ri = ri.withColumn("_k", F.floor(F.col("_u") / F.lit(tol)))
     probe = le.select("_row", F.col(key).alias("_key"), "_t", F.explode(F.sequence(F.floor((F.col("_t") - tol) / F.lit(tol)), F.floor((F.col("_t") + tol) / F.lit(tol)))).alias("_k"))
     hit = probe.join(ri, ["_key", "_k"]).filter(F.abs(F.col("_t") - F.col("_u")) <= tol)
-    best = hit.groupBy("_row").agg(F.min_by("_r", F.struct(F.abs(F.col("_t") - F.col("_u")), F.col("_u"), F.col("_r"))).alias("_r"))
+    best = hit.groupBy("_row").agg(F.min_by("_r", F.struct(F.col("_p"), F.abs(F.col("_t") - F.col("_u")).alias("d"), F.col("_u"), F.col("_r"))).alias("_r"))
     return le.join(best, "_row", "left").select(*left.columns, *[F.col(f"_r.{c}").alias(f"nearest_{c}") for c in right_cols])
 
 

@@ -196,6 +196,21 @@ def storm_gates(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("storm_index", "steps", "observed", r("total").alias("total"), (F.coalesce("total", F.lit(0.0)) < 1).alias("dry"), gate.alias("gate"))
 
 
+@query("""
+WITH w AS (SELECT DISTINCT storm_index, cell_id, time_bucket(INTERVAL 1 HOUR, win_start) AS hour FROM event_windows),
+j AS (SELECT w.*, p.obs_id, p.source, p.time, row_number() OVER (PARTITION BY w.storm_index, w.cell_id, w.hour ORDER BY CASE p.source WHEN 'iem' THEN 0 WHEN 'aws' THEN 1 ELSE 2 END, abs(epoch_us(p.time) - epoch_us(w.hour)), p.time, p.obs_id) AS k
+ FROM w JOIN precip_scans p ON p.cell_id = w.cell_id AND p.time BETWEEN w.hour - INTERVAL 10 MINUTE AND w.hour + INTERVAL 10 MINUTE WHERE p.source IS NOT NULL AND p.precip_rate >= 0 AND isfinite(p.precip_rate))
+SELECT w.storm_index, w.cell_id, w.hour, j.obs_id, CASE WHEN j.time = w.hour THEN j.source ELSE j.source || '@' || strftime(j.time, '%H%M%S') END AS label FROM w LEFT JOIN j ON j.storm_index = w.storm_index AND j.cell_id = w.cell_id AND j.hour = w.hour AND j.k = 1""")
+def hourly_scan_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The scan at the full hour of each window, or within ten minutes of it, from the first source that has one, and where it came from."""
+    w = table(spark, sf, "event_windows").select("storm_index", "cell_id", times.floor_to(F.col("win_start"), 3600).alias("hour")).distinct()
+    p = table(spark, sf, "precip_scans").filter(F.col("source").isNotNull() & usable(F.col("precip_rate")))
+    p = p.withColumn("place", F.when(F.col("source") == "iem", 0).when(F.col("source") == "aws", 1).otherwise(2))
+    d = matching.nearest_in_time(w, p, "cell_id", "hour", "time", 600, ["obs_id", "source", "time"], "place")
+    label = F.when(F.col("nearest_time") == F.col("hour"), F.col("nearest_source")).otherwise(F.concat(F.col("nearest_source"), F.lit("@"), F.date_format("nearest_time", "HHmmss")))
+    return d.select("storm_index", "cell_id", "hour", F.col("nearest_obs_id").alias("obs_id"), label.alias("label"))
+
+
 # --- peaks and clusters ----------------------------------------------------------------------------------------------------
 
 _PEAKS = """p AS (SELECT DISTINCT event_id, CASE WHEN length(s) >= 8 THEN s ELSE lpad(s, 8, '0') END AS site, v FROM (SELECT event_id, regexp_replace(trim(STAID), '\\.0$', '') AS s, peak_flow_cfs AS v FROM site_events))"""

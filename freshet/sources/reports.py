@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,15 +20,29 @@ EVENT_COLUMNS = {
 REPORT_COLUMNS = ["VALID", "VALID2", "LAT", "LON", "MAG", "WFO", "TYPECODE", "TYPETEXT", "CITY", "COUNTY", "STATE", "SOURCE", "REMARK", "UGC", "UGCNAME", "QUALIFIER"]
 
 
+def listed(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files that paths or patterns stand for, those of folders included (one level), by the file system's own listing."""
+    jvm, conf, out = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), []
+    for p in [paths] if isinstance(paths, str) else paths:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        fs = at.getFileSystem(conf)
+        for f in fs.globStatus(at) or []:
+            out += [x.getPath().toString() for x in (fs.listStatus(f.getPath()) if f.isDirectory() else [f]) if not x.isDirectory()]
+    return sorted(out)
+
+
 def storm_events(spark: SparkSession, paths: str | list[str], event_type: str | None = "Flash Flood", years: tuple[int, int] | None = None) -> DataFrame:
-    """Storm event CSVs (plain or gzip) with a header; columns are taken by name, files may have more. years keeps files whose name has _dYYYY in range.
+    """Storm event CSVs (plain or gzip) with a header; columns are taken by name, files may have more. years: only files whose name has _dYYYY in range are read.
 
     Multi-line quoted texts are kept together. The file's name comes along as source_file.
     """
+    if years:
+        names = [(p, re.search(r"_d(\d{4})", p.rsplit("/", 1)[-1])) for p in listed(spark, paths)]
+        paths = [p for p, m in names if m and years[0] <= int(m[1]) <= years[1]]
+        if not paths:
+            raise ValueError(f"no files of the years {years[0]} to {years[1]}")
     raw = spark.read.options(header=True, multiLine=True, escape='"', mode="PERMISSIVE").csv(paths)
     raw = raw.withColumn("source_file", F.col("_metadata.file_name"))
-    if years:
-        raw = raw.filter(F.regexp_extract("source_file", r"_d(\d{4})", 1).try_cast("int").between(*years))
     missing = [c for c in ("EPISODE_ID", "EVENT_ID", "EVENT_TYPE") if c not in raw.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
