@@ -20,7 +20,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters of a text that one leaf of the tree holds.
@@ -110,14 +111,16 @@ _LOADED: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file, loaded once a process."""
+    """The worker's encoder for a vocabulary file, or for the name of one that was sent to the executors; loaded once a process."""
     if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
+        _LOADED[path] = Encoder(path if os.path.isabs(path) else SparkFiles.get(path))
     return _LOADED[path]
 
 
-def _vocabulary(name: str, tokenizer_dir: str | None) -> str:
-    return os.path.join(tokenizer_dir or default_tokenizer_dir(), f"{name}.tiktoken")
+def _vocabulary(spark: SparkSession, name: str, tokenizer_dir: str | None) -> str:
+    """Sends the vocabulary file to the executors; gives the name it has there."""
+    spark.sparkContext.addFile(os.path.join(tokenizer_dir or default_tokenizer_dir(), f"{name}.tiktoken"))
+    return f"{name}.tiktoken"
 
 
 def _texts(path: str, leaf_chars: int, count: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -169,8 +172,7 @@ def encode_corpus(
     No shuffle takes place but for texts over row_chars characters: these are spread over rows, encoded
     in pieces and joined pairwise, in as many rounds as the longest text needs.
     """
-    path = _vocabulary(vocabulary, tokenizer_dir)
-    spark = docs.sparkSession
+    path = _vocabulary(docs.sparkSession, vocabulary, tokenizer_dir)
     src = docs.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     ks = src.columns[:-1]
     value = "n bigint" if count_only else "ids array<int>"
@@ -205,7 +207,7 @@ def encode_corpus(
 
 def decode_corpus(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", vocabulary: str = "byte_bpe_50k", tokenizer_dir: str | None = None) -> DataFrame:
     """(key, text): the bytes of the ids in order. Null ids give a null text, no ids an empty one."""
-    path = _vocabulary(vocabulary, tokenizer_dir)
+    path = _vocabulary(encoded.sparkSession, vocabulary, tokenizer_dir)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)

@@ -854,13 +854,13 @@ def garbled_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", source
     return find_garbled(docs, key, text, source, with_keys=False).lines.filter("doc IS NOT NULL").select(F.col("doc").alias(key)).distinct()
 
 
-def restore(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(key, text, exact) of the garbled documents, with their garbled lines read by the tables of their source.
+def restore(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", found: Garbled | None = None) -> DataFrame:
+    """(key, text, exact) of the garbled documents, with their garbled lines read by the tables of their source; found: what find_garbled gave for docs, if it is at hand.
 
     exact tells whether the tables knew the letter of every unit of all garbled lines. Lines with nothing but lost characters stay as they
     are, and exact is false. Repeated documents come as often as in docs. See find_garbled for the other cases.
     """
-    g = find_garbled(docs, key, text, source)
+    g = found or find_garbled(docs, key, text, source)
     bad = g.lines.select("doc").filter("doc IS NOT NULL").distinct()
     d = docs.select(F.col(key).alias("doc"), F.coalesce(F.lower(F.trim(F.col(source))), F.lit("")).alias("source"), F.col(text).alias("_t")).join(bad, "doc", "left_semi").withColumn("row", F.expr("uuid()"))
     kind = d.schema["doc"].dataType.simpleString()
