@@ -463,6 +463,7 @@ class _Fit:
         self.words = forms.filter("word IS NOT NULL")
         self.counts = cut(self.words.groupBy("word").agg(F.sum("n").alias("n")))
         self.refused = self.spark.createDataFrame([], "source string, swap string")
+        self.teach: DataFrame | None = None
         self.open: DataFrame | None = None
         self.keys: DataFrame | None = None
         self.found: DataFrame | None = None
@@ -540,7 +541,8 @@ class _Fit:
 
     def settle(self) -> None:
         for _ in range(ROUNDS):
-            if self.e_step() <= SETTLED * self.found.count():
+            changed = self.e_step()
+            if self.teach is not None and changed <= SETTLED * self.found.count():
                 return
             self.m_step()
 
