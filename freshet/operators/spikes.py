@@ -52,7 +52,7 @@ class Rules:
     min_bucket: int = 200
     min_source: int = 8
     sketch_k: int = 400
-    block: int = 4 * DAY
+    block: int = 30 * DAY
 
     @property
     def reach(self) -> int:
