@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "freshet", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with the settings the operators are written for (UTC, AQE); an existing session is reused."""
+    """A session with the settings the operators are written for (UTC, AQE), the package at hand in its Python workers; an existing session is reused."""
     b = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -23,7 +23,9 @@ def build_session(app: str = "freshet", master: str | None = None, shuffle_parti
         b = b.master(master).config("spark.driver.memory", os.environ.get("FRESHET_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
 
 
 _SHIPPED: set[str] = set()
