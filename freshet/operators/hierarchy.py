@@ -91,7 +91,8 @@ def _rank(tour: DataFrame) -> DataFrame:
     while True:
         t = s.select(F.col("e").alias("at"), F.col("to").alias("to2"), F.col("c").alias("c2"), F.col("d").alias("d2"), F.col("done").alias("done2"))
         # what is done all points to few starts; keys of its own keep these rows spread out
-        s0, s = s, s.withColumn("at", F.when(F.col("done"), -1 - F.col("e")).otherwise(F.col("to"))).join(t, "at", "left")
+        # and both sides are as large as the tour: they are merged, and none is sent through the driver
+        s0, s = s, s.withColumn("at", F.when(F.col("done"), -1 - F.col("e")).otherwise(F.col("to"))).join(t.hint("merge"), "at", "left")
         go = ~F.col("done")
         s = cut(s.select("e", F.when(go, F.col("to2")).otherwise(F.col("to")).alias("to"), F.when(go, F.col("c") + F.col("c2")).otherwise(F.col("c")).alias("c"), F.when(go, F.col("d") + F.col("d2")).otherwise(F.col("d")).alias("d"), F.when(go, F.col("done2")).otherwise(True).alias("done")), s0)
         if s.filter("NOT done").isEmpty():
