@@ -160,7 +160,7 @@ def implausible(df: DataFrame, id: str, source: str, time: str, value: str, rule
         jump = ((F.col("_up") > hi) & (F.col("_v") > fence)) | ((F.col("_up") > lo) & (F.col("_v") > rules.far * fence))
         jump |= (F.col("_down") > hi) & ((F.col("_v") + rules.noise) * F.col("_down") > fence)
     reason = F.when(~possible, "impossible").when(out, "fence").when(jump, "jump").when(F.col("_stuck"), "stuck")
-    found = b.withColumn("reason", reason).filter("reason IS NOT NULL").select("_s", "_t", "_v", "_id", "_n", "reason")
+    found = cut(b.withColumn("reason", reason).filter("reason IS NOT NULL").select("_s", "_t", "_v", "_id", "_n", "reason"))  # read twice
     # what was delivered several times is one reading up to here; its deliveries are looked up by its source, time and value
     again = r.join(found.filter("_n > 1").select("_s", "_t", "_v", "reason"), ["_s", "_t", "_v"]).select(F.col("_id").alias("row_id"), "reason")
     found = found.filter("_n = 1").select(F.col("_id").alias("row_id"), "reason").unionByName(again)
